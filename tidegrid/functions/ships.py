@@ -9,7 +9,8 @@ from tidegrid.constants import (
 
 
 def is_class(shiptype: Column, bounds: tuple[int, int]) -> Column:
-    return shiptype.between(*bounds)
+    low, high = bounds
+    return (shiptype >= F.lit(low)) & (shiptype <= F.lit(high))
 
 
 def ship_class(shiptype: Column) -> Column:

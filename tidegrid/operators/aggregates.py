@@ -4,8 +4,12 @@ Every aggregate here is a hash aggregation with map-side combine: what a task se
 shuffle is bounded by cells x windows, however many rows it read and however they are
 spread over sectors. So a sector with a third of all rows costs no more than any other.
 
-The same functions serve batch and streaming input; ``window`` stays a struct because a
-stream needs it to close windows by watermark.
+The same functions serve batch and streaming input. Both give ``window_start``; a stream
+also keeps the ``window`` struct, by which Spark knows when the watermark closes a window.
+(Grouping by the struct costs a batch scan a third more than grouping by the start alone.)
+
+"Last record" follows the ``arrival`` number that ingest gives each record, if there is one,
+else (ts, event_id) packed into one decimal, which is exact too but twice as slow.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from tidegrid.constants import CLASS_35, CLASS_60_69, CLASS_70_79
 from tidegrid.functions import (
     arrival_key, cell_code, event_window, is_class, is_morning, is_west)
 from tidegrid.operators.filters import western, within_area
+from tidegrid.session import materialize
 
 CLASS_COLUMNS = ("n_35", "n_60_69", "n_70_79", "n_others")
 
@@ -28,9 +33,13 @@ def _west() -> Column:
     return is_west(F.col("lat"), F.col("lon")).alias("west")
 
 
+def _count_where(condition: Column) -> Column:
+    return F.count(F.when(condition, F.lit(1)))
+
+
 def _class_counts() -> list[Column]:
     shiptype = F.col("shiptype")
-    known = [F.count_if(is_class(shiptype, bounds))
+    known = [_count_where(is_class(shiptype, bounds))
              for bounds in (CLASS_35, CLASS_60_69, CLASS_70_79)]
     others = F.count(F.lit(1)) - known[0] - known[1] - known[2]
     return [c.alias(name) for c, name in zip([*known, others], CLASS_COLUMNS)]
@@ -38,75 +47,86 @@ def _class_counts() -> list[Column]:
 
 def _slot_counts(slot_tz: str) -> list[Column]:
     morning = is_morning(F.col("ts"), slot_tz)
-    am = F.count_if(morning)
+    am = _count_where(morning)
     return [am.alias("am"), (F.count(F.lit(1)) - am).alias("pm")]
 
 
-def _last_key() -> Column:
+def _arrival(positions: DataFrame) -> Column:
+    if "arrival" in positions.columns:
+        return F.col("arrival")
     return arrival_key(F.col("ts"), F.col("event_id"))
 
 
+def _per_window(df: DataFrame, ts: str, days: int, keys: list[Column],
+                measures: list[Column]) -> DataFrame:
+    window = event_window(F.col(ts), days)
+    if df.isStreaming:
+        return (df.groupBy(window.alias("window"), *keys).agg(*measures)
+                .withColumn("window_start", F.col("window.start")))
+    return df.groupBy(window["start"].alias("window_start"), *keys).agg(*measures)
+
+
 def class_totals(positions: DataFrame, days: int) -> DataFrame:
     """Messages per class in each (window, cell) of the western area, and the ship type of
     the last record to arrive there."""
-    return (positions.transform(within_area).transform(western)
-            .groupBy(event_window(F.col("ts"), days).alias("window"), _cell())
-            .agg(*_class_counts(),
-                 F.max_by("shiptype", _last_key()).alias("last_shiptype")))
+    rows = positions.transform(within_area).transform(western)
+    last = F.max_by("shiptype", _arrival(positions)).alias("last_shiptype")
+    return _per_window(rows, "ts", days, [_cell()], [*_class_counts(), last])
 
 
 def slot_totals(positions: DataFrame, days: int, by_sea: bool,
                 slot_tz: str = "UTC") -> DataFrame:
     """Morning and afternoon messages in each (window, cell) of the area. A border cell can
     lie in both seas, so ``by_sea`` adds the sea to the key."""
-    keys = [event_window(F.col("ts"), days).alias("window"), _cell()]
-    if by_sea:
-        keys.append(_west())
-    return positions.transform(within_area).groupBy(*keys).agg(*_slot_counts(slot_tz))
+    rows = positions.transform(within_area)
+    keys = [_cell(), _west()] if by_sea else [_cell()]
+    return _per_window(rows, "ts", days, keys, _slot_counts(slot_tz))
 
 
 def slot_totals_with_last(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
-    """As ``slot_totals`` per sector, with time, number and place of the last record."""
-    key = _last_key()
-    return (positions.transform(within_area)
-            .groupBy(event_window(F.col("ts"), days).alias("window"), _cell())
-            .agg(*_slot_counts(slot_tz),
-                 F.max("ts").alias("last_ts"),
-                 F.max_by("event_id", key).alias("last_event_id"),
-                 F.max_by("lat", key).alias("last_lat"),
-                 F.max_by("lon", key).alias("last_lon")))
+    """As ``slot_totals`` per sector, with ship, place and time of the last record.
+
+    The ship id is a string, which no hash aggregation can carry, so the first scan finds
+    only which record is last and a second one fetches it. The join is a broadcast as long
+    as the stored winners, one per (window, cell), are small enough for Spark's threshold.
+    """
+    rows = positions.transform(within_area)
+    winners = _per_window(rows, "ts", days, [_cell()], [
+        *_slot_counts(slot_tz),
+        F.max_by("event_id", _arrival(positions)).alias("event_id")])
+    winners = materialize(winners, f"slot-winners-{days}")
+    records = positions.select(
+        "event_id", F.col("ship_id").alias("last_ship_id"), F.col("lat").alias("last_lat"),
+        F.col("lon").alias("last_lon"), F.col("ts").alias("last_ts"))
+    return records.join(winners, "event_id").drop("event_id")
 
 
 def window_counts(positions: DataFrame, days: int) -> DataFrame:
-    return (positions.transform(within_area)
-            .groupBy(event_window(F.col("ts"), days).alias("window"), _cell())
-            .agg(F.count(F.lit(1)).alias("n")))
+    rows = positions.transform(within_area)
+    return _per_window(rows, "ts", days, [_cell()], [F.count(F.lit(1)).alias("n")])
 
 
 def daily_rollup(positions: DataFrame, slot_tz: str = "UTC") -> DataFrame:
     """Everything the four reports need, per (UTC day, cell, sea).
 
     7- and 31-day windows are unions of UTC days, counts add up, and the later of two last
-    records is the one with the larger key, so one scan serves all reports.
+    records is the one with the larger arrival, so one scan serves all reports.
     """
-    key = _last_key()
-    return (positions.transform(within_area)
-            .groupBy(event_window(F.col("ts"), 1).alias("window"), _cell(), _west())
-            .agg(*_class_counts(), *_slot_counts(slot_tz),
-                 F.max_by("shiptype", key).alias("last_shiptype"),
-                 F.max(key).alias("last_key"))
-            .withColumn("day", F.col("window.start")).drop("window"))
+    arrival = _arrival(positions)
+    rows = positions.transform(within_area)
+    return _per_window(rows, "ts", 1, [_cell(), _west()], [
+        *_class_counts(), *_slot_counts(slot_tz),
+        F.max_by("shiptype", arrival).alias("last_shiptype"),
+        F.max(arrival).alias("last_arrival")]).withColumnRenamed("window_start", "day")
 
 
 def class_totals_from_rollup(rollup: DataFrame, days: int) -> DataFrame:
-    return (rollup.where("west")
-            .groupBy(event_window(F.col("day"), days).alias("window"), "cell")
-            .agg(*[F.sum(c).alias(c) for c in CLASS_COLUMNS],
-                 F.max_by("last_shiptype", "last_key").alias("last_shiptype")))
+    return _per_window(rollup.where("west"), "day", days, [F.col("cell")], [
+        *[F.sum(c).alias(c) for c in CLASS_COLUMNS],
+        F.max_by("last_shiptype", "last_arrival").alias("last_shiptype")])
 
 
 def slot_totals_from_rollup(rollup: DataFrame, days: int, by_sea: bool) -> DataFrame:
-    keys = [event_window(F.col("day"), days).alias("window"), F.col("cell")]
-    if by_sea:
-        keys.append(F.col("west"))
-    return rollup.groupBy(*keys).agg(F.sum("am").alias("am"), F.sum("pm").alias("pm"))
+    keys = [F.col("cell"), F.col("west")] if by_sea else [F.col("cell")]
+    return _per_window(rollup, "day", days, keys,
+                       [F.sum("am").alias("am"), F.sum("pm").alias("pm")])

@@ -22,7 +22,7 @@ def by_slot(slot_totals: DataFrame) -> DataFrame:
     """One row per (window, sector[, sea], slot), with sectors and seas named."""
     sea = [sea_name(F.col("west")).alias("sea")] if "west" in slot_totals.columns else []
     return (slot_totals
-            .select(F.col("window.start").alias("window_start"),
+            .select("window_start",
                     cell_name(F.col("cell")).alias("sector"), *sea,
                     F.explode(_slots(F.col("am"), F.col("pm"))).alias("s"))
             .select("window_start", "sector", *(["sea"] if sea else []), "s.slot", "s.n"))
@@ -41,8 +41,8 @@ def top_sectors(slot_totals: DataFrame, top_n: int = TOP_N) -> DataFrame:
 
 
 def top_sectors_by_list(slot_totals: DataFrame, top_n: int = TOP_N) -> DataFrame:
-    """Same rows as ``top_sectors``, by a second aggregation instead of a window function,
-    which streams do not support. A list holds one entry per sector of the grid."""
+    """Same rows as ``top_sectors`` for a stream, by a second aggregation, because streams
+    do not support window functions. A list holds one entry per sector of the grid."""
     sector = cell_name(F.col("cell"))
 
     def best(n: str, slot: str) -> Column:
@@ -81,7 +81,7 @@ def cumulative_scores(slot_totals: DataFrame, days: int) -> DataFrame:
     same_count = Window.partitionBy("sector", "slot", "n").orderBy("window_start")
     so_far = Window.partitionBy("sector", "slot").orderBy("window_start")
     step = F.expr(f"INTERVAL '{days}' DAY")
-    last_window = slot_totals.agg(F.max("window.start")).scalar()
+    last_window = slot_totals.agg(F.max("window_start")).scalar()
     scored = (rows
               .withColumn("gain", F.when(F.row_number().over(same_count) == 1, F.col("n"))
                                    .otherwise(F.lit(0)))
@@ -91,7 +91,7 @@ def cumulative_scores(slot_totals: DataFrame, days: int) -> DataFrame:
     carried = scored.select(
         F.explode(F.sequence("window_start", "until", step)).alias("window_start"),
         "sector", "slot", "score")
-    with_data = slot_totals.select(F.col("window.start").alias("window_start")).distinct()
+    with_data = slot_totals.select("window_start").distinct()
     return carried.join(with_data, "window_start", "left_semi")
 
 
@@ -101,7 +101,7 @@ def cumulative_top(slot_totals: DataFrame, days: int, suppress_first: bool = Tru
     the data gives no output unless ``suppress_first`` is off."""
     scores = cumulative_scores(slot_totals, days)
     if suppress_first:
-        first_window = slot_totals.agg(F.min("window.start")).scalar()
+        first_window = slot_totals.agg(F.min("window_start")).scalar()
         scores = scores.where(F.col("window_start") > first_window)
     return _top(scores, ["window_start", "slot"], "score", top_n)
 
@@ -109,8 +109,8 @@ def cumulative_top(slot_totals: DataFrame, days: int, suppress_first: bool = Tru
 def changes(lists: DataFrame) -> DataFrame:
     """Windows whose rank lists differ from those of the window before.
 
-    The one window without a partition key in the library: its input has one row per
-    event-time window, so 53 rows for a year of data of any size.
+    The window needs no partition key: its input has one row per event-time window, so 53
+    rows for a year of data of any size.
     """
     row = F.struct("rank_a", "rank_p")
     before = F.lag(row).over(Window.orderBy("window_start"))

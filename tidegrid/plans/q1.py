@@ -17,7 +17,7 @@ def report(totals: DataFrame, days: int) -> DataFrame:
     """Whole messages per day: the count divided by the window length, without remainder,
     also where the data covers only part of the window."""
     return totals.select(
-        F.col("window.start").alias("window_start"),
+        "window_start",
         cell_name(F.col("cell")).alias("sector"),
         *[F.expr(f"CAST({c} DIV {days} AS DOUBLE)").alias(AVERAGES[c]) for c in CLASS_COLUMNS],
         "last_shiptype")

@@ -68,3 +68,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_workspace(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has finished."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)

@@ -6,7 +6,7 @@ offset that depends on the event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Home ports in hundredths of a degree, by user_id modulo 12.
 PORT_LAT = (3614, 3957, 4330, 4390, 3680, 3590, 4085, 3795, 3125, 3465, 4490, 3700)
@@ -17,7 +17,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def positions_from_events(events: DataFrame) -> DataFrame:
+def positions_from_events(events: DataFrame, *extra: str) -> DataFrame:
     port = (F.col("user_id") % 12).cast("int")
     lat = F.get(F.array(*map(F.lit, PORT_LAT)), port) + (F.col("event_id") % 7) * 3 - 9
     lon = F.get(F.array(*map(F.lit, PORT_LON)), port) + (F.col("event_id") % 11) * 5 - 25
@@ -27,8 +27,45 @@ def positions_from_events(events: DataFrame) -> DataFrame:
         "ts",
         F.get_json_object("props", "$.k").cast("int").alias("shiptype"),
         (lat.cast("double") / 100).alias("lat"),
-        (lon.cast("double") / 100).alias("lon"))
+        (lon.cast("double") / 100).alias("lon"),
+        *extra)
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_from_events(read_events(spark, sf_dir))
+
+
+def to_raw_log(events: DataFrame) -> DataFrame:
+    """The events printed as raw log fields, with the faults a real log has: both timestamp
+    formats, blank headings, blank and quoted-blank draughts, ports with parentheses, and
+    ship types that are no number. The trip id is the event id, and the lines are in its
+    order."""
+    event_id = F.col("event_id")
+
+    def text(column: str) -> Column:
+        return F.col(column).cast("string")
+
+    fields = {
+        "ship_id": F.col("ship_id"),
+        "shiptype": F.when(event_id % 97 == 0, F.concat(F.lit("x"), text("shiptype")))
+                     .otherwise(text("shiptype")),
+        "speed": text("value"),
+        "lon": text("lon"),
+        "lat": text("lat"),
+        "course": (event_id % 360).cast("string"),
+        "heading": F.when(event_id % 5 != 0, (event_id % 359).cast("string")),
+        "timestamp": F.when(event_id % 2 == 0, F.date_format("ts", "dd/MM/yy HH:mm"))
+                      .otherwise(F.date_format("ts", "dd-MM-yy HH:mm")),
+        "departure_port_name": F.concat(F.upper("event_type"), F.lit(" (X)")),
+        "reported_draught": F.when(event_id % 4 == 1, F.lit('""'))
+                             .when(event_id % 4 > 1, (event_id % 120).cast("string")),
+        "trip_id": text("event_id"),
+    }
+    rows = positions_from_events(events, "value", "event_type")
+    in_order = rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
+    return in_order.select(*[column.alias(name) for name, column in fields.items()])
+
+
+def write_raw_log(events: DataFrame, path: str) -> None:
+    (to_raw_log(events).write.option("header", True).option("quote", "\u0000")
+     .option("emptyValue", "").csv(path))

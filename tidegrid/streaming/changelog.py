@@ -1,0 +1,57 @@
+"""Cumulative ranking over a stream.
+
+The score of a sector depends on all its earlier windows. Closed windows are few and small,
+so each micro-batch adds them to a history table in the shared folder and the ranking is
+worked out from that table with the batch plan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidegrid.operators.aggregates import slot_totals
+from tidegrid.plans.q2 import q2_changelog
+from tidegrid.session import new_workspace
+from tidegrid.streaming.reports import with_watermark
+
+TOTALS_SCHEMA = "window_start timestamp, cell int, am bigint, pm bigint"
+CHANGELOG_SCHEMA = "window_start timestamp, rank_a string, rank_p string"
+
+
+def start_changelog(positions: DataFrame, days: int, out: str,
+                    slot_tz: str = "UTC", finite: bool = True) -> StreamingQuery:
+    """Write the changelog to ``out/changelog``, the closed windows to ``out/history``.
+
+    Each batch overwrites its own folders, so a batch that is run again after a failure
+    leaves the same files. A batch reads only the history up to itself.
+    """
+    history, changelog = f"{out}/history", f"{out}/changelog"
+
+    def add_batch(closed: DataFrame, batch_id: int) -> None:
+        spark = closed.sparkSession
+        closed.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+        so_far = (spark.read.schema(f"{TOTALS_SCHEMA}, batch bigint").parquet(history)
+                  .where(F.col("batch") <= batch_id))
+        new = so_far.where(F.col("batch") == batch_id).select("window_start").distinct()
+        (q2_changelog(so_far.drop("batch"), days).join(new, "window_start", "left_semi")
+         .write.mode("overwrite").parquet(f"{changelog}/batch={batch_id}"))
+
+    totals = slot_totals(with_watermark(positions), days, by_sea=False, slot_tz=slot_tz)
+    writer = (totals.select("window_start", "cell", "am", "pm")
+              .writeStream.outputMode("append").foreachBatch(add_batch)
+              .option("checkpointLocation", f"{out}/checkpoint"))
+    if finite:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_changelog(spark: SparkSession, out: str) -> DataFrame:
+    return (spark.read.schema(f"{CHANGELOG_SCHEMA}, batch bigint")
+            .parquet(f"{out}/changelog").drop("batch"))
+
+
+def run_changelog(positions: DataFrame, days: int) -> DataFrame:
+    out = new_workspace(positions.sparkSession, f"changelog-{days}")
+    start_changelog(positions, days, out).awaitTermination()
+    return read_changelog(positions.sparkSession, out)
