@@ -83,6 +83,14 @@ def slot_totals(positions: DataFrame, days: int, by_sea: bool,
     return _per_window(rows, "ts", days, keys, _slot_counts(slot_tz))
 
 
+def slot_totals_with_sea(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
+    """Slot counts per sector, with the sea in which its last record lay."""
+    rows = positions.transform(within_area)
+    last = F.max_by(is_west(F.col("lat"), F.col("lon")), _arrival(positions))
+    return _per_window(rows, "ts", days, [_cell()],
+                       [*_slot_counts(slot_tz), last.alias("last_west")])
+
+
 def slot_totals_with_last(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
     """As ``slot_totals`` per sector, with ship, place and time of the last record.
 

@@ -117,3 +117,57 @@ def changes(lists: DataFrame) -> DataFrame:
     return (lists.withColumn("before", before)
             .where(~row.eqNullSafe(F.col("before")))
             .drop("before"))
+
+
+def emissions(slot_totals: DataFrame, days: int, suppress_first: bool = True,
+              top_n: int = TOP_N) -> DataFrame:
+    """The cumulative ranking as it changes while the sectors of a window report in turn.
+
+    Sectors report in the order of their ids. After each report the ranking uses the new
+    scores of those that have reported in this window and the old scores of all others. A
+    row comes out when its sea (that of the reporting sector's last record) or its lists
+    differ from the row before; a new window always differs, for its label is in the row.
+
+    A window is one row that holds its sectors as a list, 401 entries at most.
+    """
+    scores = cumulative_scores(slot_totals, days)
+    before = Window.partitionBy("sector", "slot").orderBy("window_start")
+    scores = scores.withColumn("old", F.lag("score").over(before))
+
+    def in_slot(column: str, slot: str) -> Column:
+        return F.max(F.when(F.col("slot") == slot, F.col(column))).alias(f"{column}_{slot[:2]}")
+
+    slots = (SLOT_AM, SLOT_PM)
+    sectors = scores.groupBy("window_start", "sector").agg(
+        *[in_slot(c, s) for c in ("old", "score") for s in slots])
+    reports = slot_totals.select("window_start", cell_name(F.col("cell")).alias("sector"),
+                                 sea_name(F.col("last_west")).alias("sea"))
+    windows = (sectors.join(reports, ["window_start", "sector"], "left")
+               .groupBy("window_start")
+               .agg(F.array_sort(F.collect_list(F.struct(
+                   "sector", "sea", *[f"{c}_{s[:2]}" for c in ("old", "score") for s in slots]
+               ))).alias("cells")))
+
+    def ranking(step: Column, slot: str) -> Column:
+        def entry(cell: Column) -> Column:
+            reported = cell["sea"].isNotNull() & (cell["sector"] <= step["sector"])
+            score = F.when(reported, cell[f"score_{slot[:2]}"]).otherwise(cell[f"old_{slot[:2]}"])
+            return F.struct((-score).alias("neg"), cell["sector"].alias("sector"))
+
+        entries = F.filter(F.transform("cells", entry), lambda e: e["neg"].isNotNull())
+        return rank_list(F.slice(F.array_sort(entries), 1, top_n)["sector"])
+
+    steps = F.transform(
+        F.filter("cells", lambda c: c["sea"].isNotNull()),
+        lambda c: F.struct(c["sector"].alias("sector"), c["sea"].alias("sea"),
+                           ranking(c, SLOT_AM).alias("rank_a"),
+                           ranking(c, SLOT_PM).alias("rank_p")))
+    if suppress_first:
+        first_window = slot_totals.agg(F.min("window_start")).scalar()
+        windows = windows.where(F.col("window_start") > first_window)
+    row = F.struct("sea", "rank_a", "rank_p")
+    reported = Window.partitionBy("window_start").orderBy("sector")
+    return (windows.select("window_start", F.inline(steps))
+            .withColumn("before", F.lag(row).over(reported))
+            .where(~row.eqNullSafe(F.col("before")))
+            .drop("before"))

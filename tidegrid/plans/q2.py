@@ -9,35 +9,39 @@ Three readings of "busiest":
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.constants import SLOT_AM, SLOT_PM
 from tidegrid.functions import window_label
-from tidegrid.operators.aggregates import slot_totals, slot_totals_with_last
-from tidegrid.operators.ranking import changes, cumulative_top, rank_lists, top_sectors
+from tidegrid.operators.aggregates import slot_totals, slot_totals_with_sea
+from tidegrid.operators.ranking import (
+    changes, cumulative_top, emissions, rank_lists, top_sectors)
 from tidegrid.session import materialize
 
 
 def stored_slot_totals(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
     """Slot counts per (window, cell), stored: the cumulative plans read them repeatedly
     and must not scan the positions each time."""
-    return materialize(slot_totals(positions, days, by_sea=False, slot_tz=slot_tz),
-                       f"slot-totals-{days}")
+    return materialize(slot_totals_with_sea(positions, days, slot_tz), f"slot-totals-{days}")
 
 
 def q2_top3(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
     return top_sectors(slot_totals(positions, days, by_sea=True, slot_tz=slot_tz))
 
 
-def q2_rendered(top: DataFrame) -> DataFrame:
-    """The six-column result row, one per window and sea."""
-    lists = rank_lists(top, ["window_start", "sea"])
+def render(lists: DataFrame) -> DataFrame:
+    """The six-column result row."""
     return lists.select(
         window_label(F.col("window_start")).alias("ts"), "sea",
         F.lit(SLOT_AM).alias("slot_a"), "rank_a",
         F.lit(SLOT_PM).alias("slot_p"), "rank_p")
 
 
+def q2_rendered(top: DataFrame) -> DataFrame:
+    """One result row per window and sea."""
+    return render(rank_lists(top, ["window_start", "sea"]))
+
+
 def q2_cumulative(stored: DataFrame, days: int, suppress_first: bool = True) -> DataFrame:
     return cumulative_top(stored, days, suppress_first)
 
@@ -47,3 +51,7 @@ def q2_changelog(stored: DataFrame, days: int, suppress_first: bool = True) -> D
     left out before comparing, so the second always reports."""
     lists = rank_lists(q2_cumulative(stored, days, suppress_first), ["window_start"])
     return changes(lists)
+
+
+def q2_emissions(stored: DataFrame, days: int, suppress_first: bool = True) -> DataFrame:
+    return emissions(stored, days, suppress_first)
