@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidegrid import metrics, sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
@@ -17,7 +18,7 @@ from tidegrid.functions import (
     window_label)
 from tidegrid.operators import aggregates, filters
 from tidegrid.plans import q1, q2
-from tidegrid.schema import Q1_RENDERED_SCHEMA
+from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
 from tidegrid.sources import events, normalized, raw_csv, replay
 from tidegrid.streaming import changelog, reports, runner
@@ -290,18 +291,26 @@ def stream_late_drop(spark, sf_dir):
 
 # -- sinks and metrics ---------------------------------------------------------------------
 
+def _roundtrip(spark: SparkSession, rows: DataFrame, schema: StructType) -> DataFrame:
+    path = new_workspace(spark, "lines")
+    sinks.write_lines(rows, path)
+    return sinks.read_lines(spark, path, schema)
+
+
 def sink_csv_roundtrip(spark, sf_dir):
-    path = new_workspace(spark, "q1-csv")
-    sinks.write_csv(q1.rendered(q1.q1(positions(spark, sf_dir), WEEK_DAYS)), path)
-    return sinks.read_csv(spark, path, Q1_RENDERED_SCHEMA)
+    return _roundtrip(spark, q1_rendered(WEEK_DAYS)(spark, sf_dir), Q1_RENDERED_SCHEMA)
+
+
+def sink_csv_roundtrip_q2(spark, sf_dir):
+    return _roundtrip(spark, q2_rendered(WEEK_DAYS)(spark, sf_dir), Q2_RENDERED_SCHEMA)
 
 
 def stream_csv_sink(spark, sf_dir):
-    """The streamed weekly report as appended CSV part files, read back."""
+    """The streamed weekly report as appended part files, read back."""
     rows = q1.rendered(reports.stream_q1(feed(spark, sf_dir), WEEK_DAYS))
-    out = new_workspace(spark, "stream-csv")
-    runner.start_file_sink(rows, out, "csv").awaitTermination()
-    return sinks.read_csv(spark, out, Q1_RENDERED_SCHEMA)
+    out = new_workspace(spark, "stream-lines")
+    runner.start_file_sink(sinks.as_lines(rows), out, "text").awaitTermination()
+    return sinks.read_lines(spark, out, Q1_RENDERED_SCHEMA)
 
 
 def observe_counts(spark, sf_dir):
@@ -364,5 +373,6 @@ QUERIES: dict[str, Query] = {
     "stream_late_drop": stream_late_drop,
     "stream_csv_sink": stream_csv_sink,
     "sink_csv_roundtrip": sink_csv_roundtrip,
+    "sink_csv_roundtrip_q2": sink_csv_roundtrip_q2,
     "observe_counts": observe_counts,
 }

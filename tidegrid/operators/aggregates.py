@@ -135,6 +135,8 @@ def class_totals_from_rollup(rollup: DataFrame, days: int) -> DataFrame:
 
 
 def slot_totals_from_rollup(rollup: DataFrame, days: int, by_sea: bool) -> DataFrame:
-    keys = [F.col("cell"), F.col("west")] if by_sea else [F.col("cell")]
-    return _per_window(rollup, "day", days, keys,
-                       [F.sum("am").alias("am"), F.sum("pm").alias("pm")])
+    sums = [F.sum("am").alias("am"), F.sum("pm").alias("pm")]
+    if by_sea:
+        return _per_window(rollup, "day", days, [F.col("cell"), F.col("west")], sums)
+    last = F.max_by("west", "last_arrival").alias("last_west")
+    return _per_window(rollup, "day", days, [F.col("cell")], [*sums, last])

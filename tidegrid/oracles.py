@@ -232,6 +232,7 @@ SELECT window_start, sector, last_shiptype FROM q""",
         WEEK_DAYS, "CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM p)"),
     "stream_csv_sink": q1_rendered(WEEK_DAYS),
     "sink_csv_roundtrip": q1_rendered(WEEK_DAYS),
+    "sink_csv_roundtrip_q2": q2_rendered(WEEK_DAYS),
     "observe_counts": f"""{BASE} SELECT 'all' AS stage, count(*) AS records FROM p
 UNION ALL SELECT 'in_area', count(*) FROM b
 UNION ALL SELECT 'western', count(*) FROM b WHERE sea = 'Occidentale'""",

@@ -70,7 +70,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` has finished."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    fs, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, folder = _file_system(spark, path)
+    return fs.getContentSummary(folder).getLength()

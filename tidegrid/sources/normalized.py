@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegrid.constants import TEXT_LOG_PATTERN
-from tidegrid.session import is_complete, materialize
+from tidegrid.session import is_complete, materialize, stored_bytes
 from tidegrid.sources import raw_csv
 
 # Documented layout of monotonically_increasing_id: partition number above 33 bits.
 PARTITION_BITS = 33
 
+# Compressed columns per sort task. The number of tasks follows the data, where the session
+# default would stay at 200 for a log of any size.
+SORT_PARTITION_BYTES = 64 << 20
+
 
-def in_event_time_order(df: DataFrame, *tie_break: str) -> DataFrame:
+def in_event_time_order(df: DataFrame, *tie_break: str, partitions: int | None = None
+                        ) -> DataFrame:
     """Range-partitioned and sorted by time, with the position in that order as ``arrival``.
 
     The tie-break belongs to the partitioning too: a single minute that holds a large part
     of the log is then split over partitions like any other range.
     """
-    return (df.repartitionByRange("ts", *tie_break)
+    size = [partitions] if partitions else []
+    return (df.repartitionByRange(*size, "ts", *tie_break)
             .sortWithinPartitions("ts", *tie_break)
             .withColumn("arrival", F.monotonically_increasing_id()))
 
@@ -51,7 +59,8 @@ def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "U
         "trip_id string, log_file string, log_block bigint, log_line bigint, "
         "reject_reason string, is_rejected boolean").parquet(staged)
     good = stored.where(~F.col("is_rejected")).drop("reject_reason", "is_rejected")
-    ordered = (in_event_time_order(good, *raw_csv.LOG_ORDER)
+    partitions = ceil(stored_bytes(spark, staged) / SORT_PARTITION_BYTES)
+    ordered = (in_event_time_order(good, *raw_csv.LOG_ORDER, partitions=partitions)
                .drop(*raw_csv.LOG_ORDER)
                .withColumn("event_id", F.col("arrival")))
     return (write_positions(ordered, positions),

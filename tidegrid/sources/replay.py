@@ -11,15 +11,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidegrid.schema import POSITION_SCHEMA
 from tidegrid.session import is_complete
 
 # Closes all windows of a finite replay. It lies in the western area, because Spark applies
 # the area filters before the watermark; its own window stays open and is never reported.
-SENTINEL = ("CAST(-1 AS BIGINT) event_id, '' ship_id, TIMESTAMP '9999-01-01 00:00:00' ts, "
+SENTINEL_YEAR = 9999
+SENTINEL = (f"CAST(-1 AS BIGINT) event_id, '' ship_id, TIMESTAMP '{SENTINEL_YEAR}-01-01' ts, "
             "CAST(0 AS INT) shiptype, CAST(40.0 AS DOUBLE) lat, CAST(5.0 AS DOUBLE) lon, "
             "CAST(-1 AS BIGINT) arrival")
 
 
+def append(rows: DataFrame, feed: str) -> None:
+    rows.write.mode("append").parquet(feed)
+
+
 def append_days(positions: DataFrame, feed: str) -> None:
     """Append a day-partitioned table to the feed, one append per day. The list of days
     comes from the partition values; each append reads only its own day."""
@@ -29,22 +35,26 @@ def append_days(positions: DataFrame, feed: str) -> None:
         append(positions.where(F.col("event_date") == F.lit(day)).drop("event_date"), feed)
 
 
-def append(rows: DataFrame, feed: str) -> None:
-    rows.write.mode("append").parquet(feed)
-
-
 def append_sentinel(spark: SparkSession, feed: str) -> None:
     append(spark.sql(f"SELECT {SENTINEL}"), feed)
 
 
+def published_until(spark: SparkSession, feed: str):
+    """The last day in the feed, if any; a finished feed ends with the sentinel's."""
+    if not is_complete(spark, feed):
+        return None
+    return spark.read.parquet(feed).agg(F.max(F.to_date("ts"))).first()[0]
+
+
 def publish(positions: DataFrame, feed: str) -> str:
-    """Write a whole table as a finished feed, once."""
-    done = f"{feed}.done"
+    """Write a whole table as a finished feed. Run again after a failure, it goes on with
+    the day after the last one written; on a finished feed it does nothing."""
     spark = positions.sparkSession
-    if not is_complete(spark, done):
-        append_days(positions, feed)
+    last = published_until(spark, feed)
+    rest = positions if last is None else positions.where(F.col("event_date") > F.lit(last))
+    append_days(rest.select(*POSITION_SCHEMA.names, "arrival", "event_date"), feed)
+    if last is None or last.year < SENTINEL_YEAR:
         append_sentinel(spark, feed)
-        spark.range(0).write.parquet(done)
     return feed
 
 

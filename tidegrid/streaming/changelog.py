@@ -23,19 +23,24 @@ def start_changelog(positions: DataFrame, days: int, out: str,
                     slot_tz: str = "UTC", finite: bool = True) -> StreamingQuery:
     """Write the changelog to ``out/changelog``, the closed windows to ``out/history``.
 
-    Each batch overwrites its own folders, so a batch that is run again after a failure
-    leaves the same files. A batch reads only the history up to itself.
+    Each batch that closes windows overwrites its own folders, so a batch that is run again
+    after a failure leaves the same files. A batch reads only the history up to itself.
     """
     history, changelog = f"{out}/history", f"{out}/changelog"
 
     def add_batch(closed: DataFrame, batch_id: int) -> None:
         spark = closed.sparkSession
-        closed.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
-        so_far = (spark.read.schema(f"{TOTALS_SCHEMA}, batch bigint").parquet(history)
-                  .where(F.col("batch") <= batch_id))
-        new = so_far.where(F.col("batch") == batch_id).select("window_start").distinct()
-        (q2_changelog(so_far.drop("batch"), days).join(new, "window_start", "left_semi")
-         .write.mode("overwrite").parquet(f"{changelog}/batch={batch_id}"))
+        # counted in full, so that every state store commits even if no window closed
+        closed = closed.persist()
+        if closed.count():
+            closed.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+            so_far = (spark.read.schema(f"{TOTALS_SCHEMA}, batch bigint").parquet(history)
+                      .where(F.col("batch") <= batch_id))
+            new = so_far.where(F.col("batch") == batch_id).select("window_start").distinct()
+            (q2_changelog(so_far.drop("batch"), days)
+             .join(new, "window_start", "left_semi")
+             .write.mode("overwrite").parquet(f"{changelog}/batch={batch_id}"))
+        closed.unpersist()
 
     totals = slot_totals(with_watermark(positions), days, by_sea=False, slot_tz=slot_tz)
     writer = (totals.select("window_start", "cell", "am", "pm")
