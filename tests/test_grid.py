@@ -5,7 +5,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidegrid.functions import cell_code, cell_name, sector
+from conftest import plan_of
+from tidegrid.functions import cell_code
+from tidegrid.operators.grid import with_sector
 
 LAT_EDGES = [Decimal("32.0") + Decimal("1.2") * k for k in range(11)]
 LON_EDGES = [Decimal("-6.0") + Decimal("1.1") * k for k in range(40)]
@@ -22,9 +24,7 @@ def expected_sector(lat: float, lon: float) -> str:
 
 def sectors(spark, points):
     df = spark.createDataFrame(points, "lat double, lon double")
-    named = (df.withColumn("cell", cell_code(F.col("lat"), F.col("lon")))
-             .select("lat", "lon", cell_name(F.col("cell")).alias("sector")))
-    return [(r.lat, r.lon, r.sector) for r in named.collect()]
+    return [(r.lat, r.lon, r.sector) for r in with_sector(df).collect()]
 
 
 @pytest.mark.parametrize("lat, lon, name", [
@@ -34,8 +34,7 @@ def sectors(spark, points):
     (33.0, 36.95, "Error!"), (45.0, 37.0, "Error!"), (31.25, 32.3, "A36"),
 ])
 def test_edge_points(spark, lat, lon, name):
-    df = spark.createDataFrame([(lat, lon)], "lat double, lon double")
-    assert df.select(sector(F.col("lat"), F.col("lon"))).first()[0] == name
+    assert sectors(spark, [(lat, lon)]) == [(lat, lon, name)]
     assert expected_sector(lat, lon) == name
 
 
@@ -68,3 +67,10 @@ def test_codes_are_small(spark):
                                "lat double, lon double")
     codes = [r[0] for r in df.select(cell_code(F.col("lat"), F.col("lon"))).collect()]
     assert codes == [-1, 0, -1]
+
+
+def test_cell_code_is_worked_out_once_per_row(spark):
+    df = spark.range(10).selectExpr("32.5 + id AS lat", "id * 1.0D AS lon")
+    df = df.select(F.col("lat").cast("double"), "lon")
+    plan = plan_of(with_sector(df).select("sector"))
+    assert plan.count("ELSE cast((") == 1

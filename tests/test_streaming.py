@@ -37,12 +37,11 @@ def test_feed_is_published_once(spark, table, feed):
 def test_feed_goes_on_after_a_failure(spark, table, tmp_path):
     feed = str(tmp_path / "feed")
     days = sorted(r[0] for r in table.select("event_date").distinct().collect())
-    columns = [c for c in table.columns if c != "event_date"]
     for day in days[:2]:
-        replay.append(table.where(F.col("event_date") == F.lit(day)).select(columns), feed)
+        replay.append(table.where(F.col("event_date") == F.lit(day)).select(*replay.FEED_COLUMNS), feed)
     replay.publish(table, feed)
-    assert (rows(spark.read.parquet(feed).where("event_id >= 0"), "event_id")
-            == rows(table, "event_id"))
+    assert (rows(spark.read.parquet(feed).where("arrival >= 0"), "arrival")
+            == rows(table, "arrival"))
 
 
 @pytest.mark.parametrize("days", [WEEK_DAYS, MONTH_DAYS])
@@ -77,7 +76,7 @@ def test_late_rows(spark, positions, tmp_path):
         return query
 
     def append(*rows_):
-        replay.append(positions(*rows_).withColumn("arrival", F.col("event_id")), feed)
+        replay.append(positions(*rows_).withColumnRenamed("event_id", "arrival"), feed)
 
     append(("2015-03-05 10:00", *WEST), ("2015-03-13 10:00", *WEST))
     run()
@@ -95,13 +94,13 @@ def test_stays_open_until_the_watermark_passes(spark, positions, tmp_path):
     feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
     week_end = ("2015-03-12 00:00", *WEST)     # 60 s short of closing the first week
     replay.append(positions(("2015-03-05 10:00", *WEST), week_end)
-                  .withColumn("arrival", F.col("event_id")), feed)
+                  .withColumnRenamed("event_id", "arrival"), feed)
     counts = reports.stream_window_counts(stream(spark, feed), WEEK_DAYS)
     runner.start_file_sink(counts, out).awaitTermination()
     schema = "window_start timestamp, sector string, n bigint"
     assert spark.read.schema(schema).parquet(out).count() == 0
-    replay.append(positions(("2015-03-12 00:01", *WEST)).withColumn("arrival", F.lit(9)
-                                                                      .cast("bigint")), feed)
+    replay.append(positions(("2015-03-12 00:01", *WEST, 70, 9))
+                  .withColumnRenamed("event_id", "arrival"), feed)
     runner.start_file_sink(counts, out).awaitTermination()
     assert spark.read.schema(schema).parquet(out).count() == 1
 
@@ -111,7 +110,7 @@ def test_counts_are_observed(spark, table, feed):
     metrics.count_records(table, seen).write.format("noop").mode("overwrite").save()
     assert seen.get[metrics.RECORDS] == table.count()
     counted = metrics.count_records(stream(spark, feed), "feed_records")
-    _, query = runner.run_to_table(counted.select("event_id"), "t-observed")
+    _, query = runner.run_to_table(counted.select("arrival"), "t-observed")
     assert metrics.streamed_records(query, "feed_records") == table.count() + 1
 
 

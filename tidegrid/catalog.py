@@ -14,9 +14,9 @@ from pyspark.sql.types import StructType
 from tidegrid import metrics, sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
 from tidegrid.functions import (
-    cell_code, cell_name, day_slot, event_window, sea_label, sea_name, ship_class,
-    window_label)
+    cell_name, day_slot, event_window, sea_label, sea_name, ship_class, window_label)
 from tidegrid.operators import aggregates, filters
+from tidegrid.operators.grid import with_sector
 from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
@@ -143,9 +143,8 @@ def sea_label_query(spark, sf_dir):
 
 
 def sector_assign(spark, sf_dir):
-    return (positions(spark, sf_dir)
-            .withColumn("cell", cell_code(F.col("lat"), F.col("lon")))
-            .select("event_id", "lat", "lon", cell_name(F.col("cell")).alias("sector")))
+    return (positions(spark, sf_dir).transform(with_sector)
+            .select("event_id", "lat", "lon", "sector"))
 
 
 def shiptype_class(spark, sf_dir):

@@ -72,13 +72,11 @@ def cell_code(lat: Column, lon: Column) -> Column:
 
 
 def cell_name(code: Column) -> Column:
-    """Sector id of a cell code, such as ``D7``; rendered after grouping, not per row."""
+    """Sector id of a cell code, such as ``D7``. The code should be a column of its own, for
+    this refers to it several times: group by the code and name the groups, or see
+    ``with_sector``."""
     band = F.floor(code / F.lit(GRID_COLUMNS)).cast("int")
     letter = F.substring(F.lit(GRID_LETTERS), band + F.lit(1), F.lit(1))
     number = (code % F.lit(GRID_COLUMNS) + F.lit(1)).cast("string")
     return (F.when(code == F.lit(OFF_GRID_CODE), F.lit(OFF_GRID))
              .otherwise(F.concat(letter, number)))
-
-
-def sector(lat: Column, lon: Column) -> Column:
-    return cell_name(cell_code(lat, lon))

@@ -99,14 +99,15 @@ def slot_totals_with_last(positions: DataFrame, days: int, slot_tz: str = "UTC")
     as the stored winners, one per (window, cell), are small enough for Spark's threshold.
     """
     rows = positions.transform(within_area)
+    record = "arrival" if "arrival" in positions.columns else "event_id"
     winners = _per_window(rows, "ts", days, [_cell()], [
         *_slot_counts(slot_tz),
-        F.max_by("event_id", _arrival(positions)).alias("event_id")])
+        F.max_by(record, _arrival(positions)).alias(record)])
     winners = materialize(winners, f"slot-winners-{days}")
     records = positions.select(
-        "event_id", F.col("ship_id").alias("last_ship_id"), F.col("lat").alias("last_lat"),
+        record, F.col("ship_id").alias("last_ship_id"), F.col("lat").alias("last_lat"),
         F.col("lon").alias("last_lon"), F.col("ts").alias("last_ts"))
-    return records.join(winners, "event_id").drop("event_id")
+    return records.join(winners, record).drop(record)
 
 
 def window_counts(positions: DataFrame, days: int) -> DataFrame:

@@ -10,8 +10,9 @@ RAW_FIELDS = (
     "departure_port_name", "reported_draught", "trip_id")
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_FIELDS])
 
-# A position as the reports read it. ``event_id`` identifies a record; ``arrival``, which
-# ingest adds, grows with (ts, place in the log). Sources without it order by (ts, event_id).
+# A position as the reports read it. ``event_id`` identifies a record and breaks ties in
+# time. Ingested tables have ``arrival`` in its place, a number that grows with (ts, place in
+# the log); it serves both purposes at once and faster.
 POSITION_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ship_id", T.StringType()),

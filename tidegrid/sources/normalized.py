@@ -14,8 +14,22 @@ from tidegrid.sources import raw_csv
 PARTITION_BITS = 33
 
 # Compressed columns per sort task. The number of tasks follows the data, where the session
-# default would stay at 200 for a log of any size.
+# default would stay at 200 for a log of any size. Beyond the limit tasks grow and spill,
+# because the number of shuffle blocks grows with the square of the number of tasks.
 SORT_PARTITION_BYTES = 64 << 20
+MAX_SORT_PARTITIONS = 20_000
+
+CODEC = "zstd"
+STAGED_SCHEMA = (
+    "ship_id string, shiptype int, speed double, lon double, lat double, course int, "
+    "heading int, ts timestamp, departure_port_name string, reported_draught int, "
+    "trip_id string, log_file string, log_block bigint, log_line bigint, "
+    "reject_reason string, is_rejected boolean")
+
+
+def sort_partitions(spark: SparkSession, size: int) -> int:
+    by_size = min(ceil(size / SORT_PARTITION_BYTES), MAX_SORT_PARTITIONS)
+    return max(by_size, spark.sparkContext.defaultParallelism)
 
 
 def in_event_time_order(df: DataFrame, *tie_break: str, partitions: int | None = None
@@ -36,10 +50,20 @@ def write_positions(ordered: DataFrame, path: str) -> DataFrame:
     spark = ordered.sparkSession
     if not is_complete(spark, path):
         (ordered.withColumn("event_date", F.to_date("ts"))
-         .write.mode("overwrite").partitionBy("event_date").parquet(path))
+         .write.mode("overwrite").option("compression", CODEC)
+         .partitionBy("event_date").parquet(path))
     return spark.read.parquet(path)
 
 
+def numbered_logs(staged: DataFrame) -> DataFrame:
+    """A short number for each log file, in the order of their names: a path in every row
+    would be the larger part of what the sort shuffles."""
+    files = staged.select("log_file").distinct()
+    by_name = Window.orderBy("log_file")       # one row per file
+    return materialize(files.withColumn("log_number", F.row_number().over(by_name)),
+                       "log-files")
+
+
 def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "UTC",
            draught_compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """Raw log to (positions, rejects), both stored under ``out_dir``.
@@ -52,19 +76,18 @@ def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "U
     if not is_complete(spark, staged):
         parsed = raw_csv.parse(raw_csv.scan(spark, csv_path), source_tz, draught_compat)
         (parsed.withColumn("is_rejected", F.col("reject_reason").isNotNull())
-         .write.mode("overwrite").partitionBy("is_rejected").parquet(staged))
-    stored = spark.read.schema(
-        "ship_id string, shiptype int, speed double, lon double, lat double, course int, "
-        "heading int, ts timestamp, departure_port_name string, reported_draught int, "
-        "trip_id string, log_file string, log_block bigint, log_line bigint, "
-        "reject_reason string, is_rejected boolean").parquet(staged)
+         .write.mode("overwrite").option("compression", CODEC)
+         .partitionBy("is_rejected").parquet(staged))
+    stored = spark.read.schema(STAGED_SCHEMA).parquet(staged)
+    rejects = stored.where("is_rejected").drop("is_rejected")
+    if is_complete(spark, positions):
+        return spark.read.parquet(positions), rejects
     good = stored.where(~F.col("is_rejected")).drop("reject_reason", "is_rejected")
-    partitions = ceil(stored_bytes(spark, staged) / SORT_PARTITION_BYTES)
-    ordered = (in_event_time_order(good, *raw_csv.LOG_ORDER, partitions=partitions)
-               .drop(*raw_csv.LOG_ORDER)
-               .withColumn("event_id", F.col("arrival")))
-    return (write_positions(ordered, positions),
-            stored.where("is_rejected").drop("is_rejected"))
+    good = good.join(numbered_logs(good), "log_file").drop("log_file")
+    place = ("log_number", "log_block", "log_line")
+    partitions = sort_partitions(spark, stored_bytes(spark, staged))
+    ordered = in_event_time_order(good, *place, partitions=partitions).drop(*place)
+    return write_positions(ordered, positions), rejects
 
 
 def replay_numbers(positions: DataFrame) -> DataFrame:

@@ -32,29 +32,40 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_timestamp(text: Column, source_tz: str = "UTC") -> Column:
-    def first_match(patterns: tuple[str, ...]) -> Column:
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
+    """Day-first text with slashes or dashes and a year of two or four digits. The pattern
+    is picked by looking, because a failed parse costs far more than a good one."""
+    date = F.substring_index(text, " ", 1)
 
-    ts = (F.when(text.contains("/"), first_match(RAW_SLASH_PATTERNS))
-           .otherwise(first_match(RAW_DASH_PATTERNS)))
+    def by_year(separator: str, patterns: tuple[str, str]) -> Column:
+        short, long = (F.try_to_timestamp(text, F.lit(p)) for p in patterns)
+        return F.when(F.substring(date, -3, 1) == F.lit(separator), short).otherwise(long)
+
+    ts = (F.when(text.contains("/"), by_year("/", RAW_SLASH_PATTERNS))
+           .otherwise(by_year("-", RAW_DASH_PATTERNS)))
     return ts if source_tz == "UTC" else F.to_utc_timestamp(ts, source_tz)
 
 
+def _blank(text: Column) -> Column:
+    return F.coalesce(F.trim(text), F.lit("")) == F.lit("")
+
+
 def heading_or_zero(text: Column) -> Column:
     """Blank is 0; other text that is no number stays null and gets the record rejected."""
-    blank = F.coalesce(F.trim(text), F.lit("")) == F.lit("")
-    return F.when(blank, F.lit(0)).otherwise(text.try_cast("int"))
+    return F.when(_blank(text), F.lit(0)).otherwise(text.try_cast("int"))
 
 
 def draught_or_zero(text: Column, compat: bool = False) -> Column:
     """Blank, quoted blank and unreadable are 0; with ``compat`` every draught is 0."""
     if compat:
         return F.lit(0)
-    return F.coalesce(F.trim(F.translate(text, '"', "")).try_cast("int"), F.lit(0))
+    bare = F.replace(text, F.lit('"'))
+    number = F.coalesce(F.trim(bare).try_cast("int"), F.lit(0))
+    return F.when(_blank(bare), F.lit(0)).otherwise(number)
 
 
 def without_parentheses(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), "()", "")
+    whole = F.coalesce(text, F.lit(""))
+    return F.replace(F.replace(whole, F.lit("(")), F.lit(")"))
 
 
 def parse(raw: DataFrame, source_tz: str = "UTC", draught_compat: bool = False) -> DataFrame:

@@ -11,15 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.schema import POSITION_SCHEMA
 from tidegrid.session import is_complete
 
 # Closes all windows of a finite replay. It lies in the western area, because Spark applies
 # the area filters before the watermark; its own window stays open and is never reported.
 SENTINEL_YEAR = 9999
-SENTINEL = (f"CAST(-1 AS BIGINT) event_id, '' ship_id, TIMESTAMP '{SENTINEL_YEAR}-01-01' ts, "
-            "CAST(0 AS INT) shiptype, CAST(40.0 AS DOUBLE) lat, CAST(5.0 AS DOUBLE) lon, "
-            "CAST(-1 AS BIGINT) arrival")
+SENTINEL = (f"'' ship_id, TIMESTAMP '{SENTINEL_YEAR}-01-01' ts, CAST(0 AS INT) shiptype, "
+            "CAST(40.0 AS DOUBLE) lat, CAST(5.0 AS DOUBLE) lon, CAST(-1 AS BIGINT) arrival")
+FEED_COLUMNS = ("ship_id", "ts", "shiptype", "lat", "lon", "arrival")
 
 
 def append(rows: DataFrame, feed: str) -> None:
@@ -32,7 +31,7 @@ def append_days(positions: DataFrame, feed: str) -> None:
     days = [r["event_date"] for r in
             positions.select("event_date").distinct().orderBy("event_date").collect()]
     for day in days:
-        append(positions.where(F.col("event_date") == F.lit(day)).drop("event_date"), feed)
+        append(positions.where(F.col("event_date") == F.lit(day)).select(*FEED_COLUMNS), feed)
 
 
 def append_sentinel(spark: SparkSession, feed: str) -> None:
@@ -52,7 +51,7 @@ def publish(positions: DataFrame, feed: str) -> str:
     spark = positions.sparkSession
     last = published_until(spark, feed)
     rest = positions if last is None else positions.where(F.col("event_date") > F.lit(last))
-    append_days(rest.select(*POSITION_SCHEMA.names, "arrival", "event_date"), feed)
+    append_days(rest, feed)
     if last is None or last.year < SENTINEL_YEAR:
         append_sentinel(spark, feed)
     return feed
