@@ -29,5 +29,5 @@ def test_stream_job_from_raw_log(spark, tmp_path):
     cli.main(["feed", log, out])
     cli.main(["stream", f"{out}/feed", f"{out}/reports"])
     positions = spark.read.parquet(f"{out}/ingest/positions")
-    assert (rows(sinks.read_lines(spark, f"{out}/reports/q1_week", Q1_RENDERED_SCHEMA))
+    assert (rows(sinks.read_lines(spark, f"{out}/reports/week/q1", Q1_RENDERED_SCHEMA))
             == rows(q1.rendered(q1.q1(positions, WEEK_DAYS))))

@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from conftest import rows
-from tidegrid import metrics
+from tidegrid import metrics, sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
 from tidegrid.plans import job as batch_job, q1, q2
+from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.sources import events, normalized, replay
 from tidegrid.streaming import changelog, job, reports, runner
 
@@ -114,14 +115,25 @@ def test_counts_are_observed(spark, table, feed):
     assert metrics.streamed_records(query, "feed_records") == table.count() + 1
 
 
-def test_all_streams_together(spark, table, feed, tmp_path):
+def test_both_periods_together(spark, table, feed, tmp_path):
     out = str(tmp_path / "out")
-    queries = job.start_all(spark, feed, out, finite=True)
-    for query in queries.values():
+    for query in job.start_all(spark, feed, out, finite=True).values():
         query.awaitTermination()
     batch = batch_job.reports(table)
-    lines = spark.read.text(f"{out}/q1_week")
-    assert lines.count() == batch["q1_week"].count() > 0
-    for name in ("week", "month"):
-        assert spark.read.parquet(f"{out}/q2_{name}").count() > 0
-        assert changelog.read_changelog(spark, f"{out}/q2_{name}_changelog").count() > 0
+    for name, days in job.PERIODS.items():
+        for report, schema in (("q1", Q1_RENDERED_SCHEMA), ("q2", Q2_RENDERED_SCHEMA)):
+            lines = sinks.read_lines(spark, f"{out}/{name}/{report}", schema)
+            assert rows(lines) == rows(batch[f"{report}_{name}"])
+        changes = q2.q2_changelog(q2.stored_slot_totals(table, days), days)
+        assert rows(changelog.read_changelog(spark, f"{out}/{name}")) == rows(changes)
+
+
+def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
+    out = str(tmp_path / "out")
+    totals = q2.stored_slot_totals(table, WEEK_DAYS).select("window_start", "cell", "am", "pm")
+    starts = [r[0] for r in totals.select("window_start").distinct().orderBy("window_start").collect()]
+    first = totals.where(F.col("window_start") <= starts[1])
+    rest = totals.where(F.col("window_start") > starts[1])
+    for closed, batch_id in ((first, 1), (rest, 4), (rest, 4), (first, 1)):
+        changelog.record_changes(closed, batch_id, WEEK_DAYS, out)
+    assert rows(changelog.read_changelog(spark, out)) == rows(q2.q2_changelog(totals, WEEK_DAYS))

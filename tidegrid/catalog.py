@@ -21,7 +21,7 @@ from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
 from tidegrid.sources import events, normalized, raw_csv, replay
-from tidegrid.streaming import changelog, reports, runner
+from tidegrid.streaming import changelog, job as stream_job, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,6 +261,22 @@ def stream_q2_changelog(days: int) -> Query:
     return query
 
 
+def fanned_out(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with all reports of the stream job over the feed."""
+    rows = feed(spark, sf_dir)
+
+    def write(out: str) -> str:
+        for name, days in stream_job.PERIODS.items():
+            stream_job.start_period(rows, days, f"{out}/{name}", finite=True).awaitTermination()
+        return out
+    return _once(spark, sf_dir, "fan-out", write)
+
+
+def stream_fanout(period: str, report: str, schema: StructType) -> Query:
+    return lambda spark, sf_dir: sinks.read_lines(
+        spark, f"{fanned_out(spark, sf_dir)}/{period}/{report}", schema)
+
+
 def stream_late_drop(spark, sf_dir):
     """Weekly counts of a feed in which the first day comes after all others.
 
@@ -369,6 +385,10 @@ QUERIES: dict[str, Query] = {
     "stream_q2_month_top3": stream_q2_top3(MONTH_DAYS),
     "stream_q2_changelog": stream_q2_changelog(WEEK_DAYS),
     "stream_q2_changelog_month": stream_q2_changelog(MONTH_DAYS),
+    "stream_fanout_q1_week": stream_fanout("week", "q1", Q1_RENDERED_SCHEMA),
+    "stream_fanout_q1_month": stream_fanout("month", "q1", Q1_RENDERED_SCHEMA),
+    "stream_fanout_q2_week": stream_fanout("week", "q2", Q2_RENDERED_SCHEMA),
+    "stream_fanout_q2_month": stream_fanout("month", "q2", Q2_RENDERED_SCHEMA),
     "stream_late_drop": stream_late_drop,
     "stream_csv_sink": stream_csv_sink,
     "sink_csv_roundtrip": sink_csv_roundtrip,

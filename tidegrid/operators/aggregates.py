@@ -115,18 +115,23 @@ def window_counts(positions: DataFrame, days: int) -> DataFrame:
     return _per_window(rows, "ts", days, [_cell()], [F.count(F.lit(1)).alias("n")])
 
 
+def rollup(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
+    """All measures of both reports per (window, cell, sea), from one pass."""
+    arrival = _arrival(positions)
+    rows = positions.transform(within_area)
+    return _per_window(rows, "ts", days, [_cell(), _west()], [
+        *_class_counts(), *_slot_counts(slot_tz),
+        F.max_by("shiptype", arrival).alias("last_shiptype"),
+        F.max(arrival).alias("last_arrival")])
+
+
 def daily_rollup(positions: DataFrame, slot_tz: str = "UTC") -> DataFrame:
-    """Everything the four reports need, per (UTC day, cell, sea).
+    """Everything the reports of both periods need, per (UTC day, cell, sea).
 
     7- and 31-day windows are unions of UTC days, counts add up, and the later of two last
     records is the one with the larger arrival, so one scan serves all reports.
     """
-    arrival = _arrival(positions)
-    rows = positions.transform(within_area)
-    return _per_window(rows, "ts", 1, [_cell(), _west()], [
-        *_class_counts(), *_slot_counts(slot_tz),
-        F.max_by("shiptype", arrival).alias("last_shiptype"),
-        F.max(arrival).alias("last_arrival")]).withColumnRenamed("window_start", "day")
+    return rollup(positions, 1, slot_tz).withColumnRenamed("window_start", "day")
 
 
 def class_totals_from_rollup(rollup: DataFrame, days: int) -> DataFrame:

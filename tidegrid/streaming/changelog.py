@@ -14,41 +14,35 @@ from tidegrid.operators.aggregates import slot_totals
 from tidegrid.plans.q2 import q2_changelog
 from tidegrid.session import new_workspace
 from tidegrid.streaming.reports import with_watermark
+from tidegrid.streaming.runner import start_closed_windows
 
 TOTALS_SCHEMA = "window_start timestamp, cell int, am bigint, pm bigint"
 CHANGELOG_SCHEMA = "window_start timestamp, rank_a string, rank_p string"
 
 
-def start_changelog(positions: DataFrame, days: int, out: str,
-                    slot_tz: str = "UTC", finite: bool = True) -> StreamingQuery:
-    """Write the changelog to ``out/changelog``, the closed windows to ``out/history``.
+def record_changes(closed: DataFrame, batch_id: int, days: int, out: str) -> None:
+    """Add the slot counts of closed windows to ``out/history`` and write the changes they
+    bring to ``out/changelog``.
 
-    Each batch that closes windows overwrites its own folders, so a batch that is run again
-    after a failure leaves the same files. A batch reads only the history up to itself.
+    Each batch overwrites its own folders, so a batch that is run again after a failure
+    leaves the same files. A batch reads only the history up to itself.
     """
-    history, changelog = f"{out}/history", f"{out}/changelog"
-
-    def add_batch(closed: DataFrame, batch_id: int) -> None:
-        spark = closed.sparkSession
-        # counted in full, so that every state store commits even if no window closed
-        closed = closed.persist()
-        if closed.count():
-            closed.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
-            so_far = (spark.read.schema(f"{TOTALS_SCHEMA}, batch bigint").parquet(history)
-                      .where(F.col("batch") <= batch_id))
-            new = so_far.where(F.col("batch") == batch_id).select("window_start").distinct()
-            (q2_changelog(so_far.drop("batch"), days)
-             .join(new, "window_start", "left_semi")
-             .write.mode("overwrite").parquet(f"{changelog}/batch={batch_id}"))
-        closed.unpersist()
+    spark = closed.sparkSession
+    closed.write.mode("overwrite").parquet(f"{out}/history/batch={batch_id}")
+    so_far = (spark.read.schema(f"{TOTALS_SCHEMA}, batch bigint").parquet(f"{out}/history")
+              .where(F.col("batch") <= batch_id))
+    new = so_far.where(F.col("batch") == batch_id).select("window_start").distinct()
+    (q2_changelog(so_far.drop("batch"), days).join(new, "window_start", "left_semi")
+     .write.mode("overwrite").parquet(f"{out}/changelog/batch={batch_id}"))
+
 
+def start_changelog(positions: DataFrame, days: int, out: str,
+                    slot_tz: str = "UTC", finite: bool = True) -> StreamingQuery:
     totals = slot_totals(with_watermark(positions), days, by_sea=False, slot_tz=slot_tz)
-    writer = (totals.select("window_start", "cell", "am", "pm")
-              .writeStream.outputMode("append").foreachBatch(add_batch)
-              .option("checkpointLocation", f"{out}/checkpoint"))
-    if finite:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return start_closed_windows(
+        totals.select("window_start", "cell", "am", "pm"),
+        lambda closed, batch_id: record_changes(closed, batch_id, days, out),
+        f"{out}/checkpoint", finite)
 
 
 def read_changelog(spark: SparkSession, out: str) -> DataFrame:

@@ -1,32 +1,50 @@
-"""All reports over one feed, each as a query of its own with its own checkpoint."""
+"""All reports over one feed, with one pass over the feed per period.
+
+Both reports of a period close the same windows, so one stream keeps the measures of both,
+and each micro-batch writes the reports of the windows it closed. (The daily rollup would
+save the second pass, but a stream of it would drop rows whose day has closed while their
+week is still open.)
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid import sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
-from tidegrid.plans import q1
+from tidegrid.operators.aggregates import rollup
+from tidegrid.operators.ranking import top_sectors
+from tidegrid.plans import q1, q2
 from tidegrid.sources import replay
-from tidegrid.streaming import changelog, reports, runner
+from tidegrid.streaming import changelog, runner
+from tidegrid.streaming.reports import with_watermark
 
 PERIODS = {"week": WEEK_DAYS, "month": MONTH_DAYS}
 
 
+def start_period(positions: DataFrame, days: int, out: str, slot_tz: str = "UTC",
+                 finite: bool = False) -> StreamingQuery:
+    """Write the literal rows of Q1 and Q2 to ``out/q1`` and ``out/q2`` and the cumulative
+    changelog to ``out/changelog``."""
+    def write_reports(closed: DataFrame, batch_id: int) -> None:
+        rows = {"q1": q1.rendered(q1.report(closed.where("west"), days)),
+                "q2": q2.q2_rendered(top_sectors(closed))}
+        for name, report in rows.items():
+            (sinks.as_lines(report).write.mode("overwrite")
+             .text(f"{out}/{name}/batch={batch_id}"))
+        per_sector = closed.groupBy("window_start", "cell").agg(
+            F.sum("am").alias("am"), F.sum("pm").alias("pm"))
+        changelog.record_changes(per_sector, batch_id, days, out)
+
+    totals = rollup(with_watermark(positions), days, slot_tz).drop("window")
+    return runner.start_closed_windows(totals, write_reports, f"{out}/checkpoint", finite)
+
+
 def start_all(spark: SparkSession, feed: str, out_dir: str, slot_tz: str = "UTC",
               finite: bool = False) -> dict[str, StreamingQuery]:
     """Start the weekly and 31-day reports. ``finite`` stops at the end of the feed."""
     session = runner.streaming_session(spark)
     positions = replay.read_feed(session, feed)
-    started = {}
-    for name, days in PERIODS.items():
-        started[f"q1_{name}"] = runner.start_file_sink(
-            sinks.as_lines(q1.rendered(reports.stream_q1(positions, days))),
-            f"{out_dir}/q1_{name}", "text", finite)
-        started[f"q2_{name}"] = runner.start_file_sink(
-            reports.stream_q2_top3(positions, days, slot_tz), f"{out_dir}/q2_{name}",
-            "parquet", finite)
-        started[f"q2_{name}_changelog"] = changelog.start_changelog(
-            positions, days, f"{out_dir}/q2_{name}_changelog", slot_tz, finite)
-    return started
+    return {name: start_period(positions, days, f"{out_dir}/{name}", slot_tz, finite)
+            for name, days in PERIODS.items()}

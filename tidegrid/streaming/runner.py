@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +32,27 @@ def start_file_sink(stream: DataFrame, out: str, fmt: str = "parquet", finite: b
     return writer.start(out)
 
 
+def start_closed_windows(totals: DataFrame, write: Callable[[DataFrame, int], None],
+                         checkpoint: str, finite: bool = True) -> StreamingQuery:
+    """Give the windows that close in a micro-batch to ``write``, together with the batch
+    id, by which it must make its output repeatable. Batches that close none are passed
+    over."""
+    def on_batch(closed: DataFrame, batch_id: int) -> None:
+        # counted in full, so that every state store commits even if no window closed
+        closed = closed.persist()
+        try:
+            if closed.count():
+                write(closed, batch_id)
+        finally:
+            closed.unpersist()
+
+    writer = (totals.writeStream.outputMode("append").foreachBatch(on_batch)
+              .option("checkpointLocation", checkpoint))
+    if finite:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def run_to_table(stream: DataFrame, name: str) -> tuple[DataFrame, StreamingQuery]:
     """Process all that is available, then give the sink's content as a batch frame."""
     spark = stream.sparkSession
