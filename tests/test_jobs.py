@@ -3,7 +3,7 @@ from tidegrid import __main__ as cli, sinks
 from tidegrid.plans import q1, q2
 from tidegrid.constants import WEEK_DAYS
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
-from tidegrid.sources import events
+from tidegrid.sources import events, normalized
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +23,19 @@ def test_batch_job_from_raw_log(spark, tmp_path):
             == rows(q2.render(q2.q2_emissions(stored, WEEK_DAYS))))
 
 
+def test_batch_job_from_text_log(spark, tmp_path):
+    log, text, out = (str(tmp_path / name) for name in ("raw", "text", "out"))
+    events.write_raw_log(events.read_events(spark, SF), log)
+    positions, _ = normalized.ingest(spark, log, str(tmp_path / "ingest"))
+    normalized.to_text_log(positions).write.text(text)
+    cli.main(["--text-log", "batch", text, out])
+    imported = spark.read.parquet(f"{out}/ingest/positions")
+    fields = (*normalized.TEXT_FIELDS, "event_date")
+    assert rows(imported, *fields) == rows(positions, *fields)
+    q1_rows = sinks.read_lines(spark, f"{out}/q1_week", Q1_RENDERED_SCHEMA)
+    assert rows(q1_rows) == rows(q1.rendered(q1.q1(positions, WEEK_DAYS)))
+
+
 def test_stream_job_from_raw_log(spark, tmp_path):
     log, out = str(tmp_path / "raw"), str(tmp_path / "out")
     events.write_raw_log(events.read_events(spark, SF), log)

@@ -39,7 +39,8 @@ def test_feed_goes_on_after_a_failure(spark, table, tmp_path):
     feed = str(tmp_path / "feed")
     days = sorted(r[0] for r in table.select("event_date").distinct().collect())
     for day in days[:2]:
-        replay.append(table.where(F.col("event_date") == F.lit(day)).select(*replay.FEED_COLUMNS), feed)
+        of_day = table.where(F.col("event_date") == F.lit(day))
+        replay.append(of_day.select(*replay.FEED_COLUMNS), feed)
     replay.publish(table, feed)
     assert (rows(spark.read.parquet(feed).where("arrival >= 0"), "arrival")
             == rows(table, "arrival"))
@@ -131,9 +132,9 @@ def test_both_periods_together(spark, table, feed, tmp_path):
 def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
     out = str(tmp_path / "out")
     totals = q2.stored_slot_totals(table, WEEK_DAYS).select("window_start", "cell", "am", "pm")
-    starts = [r[0] for r in totals.select("window_start").distinct().orderBy("window_start").collect()]
-    first = totals.where(F.col("window_start") <= starts[1])
-    rest = totals.where(F.col("window_start") > starts[1])
+    second = sorted(r[0] for r in totals.select("window_start").distinct().collect())[1]
+    first = totals.where(F.col("window_start") <= second)
+    rest = totals.where(F.col("window_start") > second)
     for closed, batch_id in ((first, 1), (rest, 4), (rest, 4), (first, 1)):
         changelog.record_changes(closed, batch_id, WEEK_DAYS, out)
     assert rows(changelog.read_changelog(spark, out)) == rows(q2.q2_changelog(totals, WEEK_DAYS))

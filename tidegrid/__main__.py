@@ -15,6 +15,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source-tz", default="UTC", help="zone of timestamps in the raw log")
     parser.add_argument("--slot-tz", default="UTC", help="zone of morning and afternoon")
     parser.add_argument("--draught-compat", action="store_true", help="read every draught as 0")
+    parser.add_argument("--text-log", action="store_true",
+                        help="batch: the log is an already normalised text log")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, source in (("batch", "raw log"), ("feed", "raw log"), ("stream", "feed")):
         command = commands.add_parser(name)
@@ -25,7 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.command == "batch":
         batch_job.run_batch(spark, args.source, args.out, args.source_tz, args.slot_tz,
-                            args.draught_compat)
+                            args.draught_compat, args.text_log)
     elif args.command == "feed":
         positions, _ = normalized.ingest(spark, args.source, f"{args.out}/ingest",
                                          args.source_tz, args.draught_compat)

@@ -9,7 +9,7 @@ also keeps the ``window`` struct, by which Spark knows when the watermark closes
 (Grouping by the struct costs a batch scan a third more than grouping by the start alone.)
 
 "Last record" follows the ``arrival`` number that ingest gives each record, if there is one,
-else (ts, event_id) packed into one decimal, which is exact too but twice as slow.
+else (ts, event_id) packed into one decimal, which is exact too but slower.
 """
 
 from __future__ import annotations

@@ -31,10 +31,15 @@ def reports(positions: DataFrame, slot_tz: str = "UTC") -> dict[str, DataFrame]:
 
 
 def run_batch(spark: SparkSession, log: str, out_dir: str, source_tz: str = "UTC",
-              slot_tz: str = "UTC", draught_compat: bool = False) -> list[str]:
-    """Ingest a raw log and write every report; returns the report names."""
-    positions, _ = normalized.ingest(spark, log, f"{out_dir}/ingest", source_tz,
-                                     draught_compat)
+              slot_tz: str = "UTC", draught_compat: bool = False,
+              text_log: bool = False) -> list[str]:
+    """Ingest a raw or an already normalised log and write every report; returns the report
+    names."""
+    if text_log:
+        positions = normalized.import_text_log(spark, log, f"{out_dir}/ingest")
+    else:
+        positions, _ = normalized.ingest(spark, log, f"{out_dir}/ingest", source_tz,
+                                         draught_compat)
     written = reports(positions, slot_tz)
     for name, rows in written.items():
         sinks.write_lines(rows, f"{out_dir}/{name}")

@@ -13,21 +13,27 @@ PORT_LAT = (3614, 3957, 4330, 4390, 3680, 3590, 4085, 3795, 3125, 3465, 4490, 37
 PORT_LON = (-535, 265, 530, 890, 1510, 1450, 2930, 2360, 3230, 3300, 1230, 3695)
 
 
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                 "value double, props string")
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+
+
+def _degrees(ports: tuple[int, ...], offset: str) -> Column:
+    port = f"array({', '.join(map(str, ports))})[CAST(user_id % 12 AS INT)]"
+    return F.expr(f"CAST({port} + {offset} AS DOUBLE) / 100")
 
 
 def positions_from_events(events: DataFrame, *extra: str) -> DataFrame:
-    port = (F.col("user_id") % 12).cast("int")
-    lat = F.get(F.array(*map(F.lit, PORT_LAT)), port) + (F.col("event_id") % 7) * 3 - 9
-    lon = F.get(F.array(*map(F.lit, PORT_LON)), port) + (F.col("event_id") % 11) * 5 - 25
     return events.select(
         "event_id",
         F.col("user_id").cast("string").alias("ship_id"),
         "ts",
         F.get_json_object("props", "$.k").cast("int").alias("shiptype"),
-        (lat.cast("double") / 100).alias("lat"),
-        (lon.cast("double") / 100).alias("lon"),
+        _degrees(PORT_LAT, "event_id % 7 * 3 - 9").alias("lat"),
+        _degrees(PORT_LON, "event_id % 11 * 5 - 25").alias("lon"),
         *extra)
 
 

@@ -24,7 +24,7 @@ STAGED_SCHEMA = (
     "ship_id string, shiptype int, speed double, lon double, lat double, course int, "
     "heading int, ts timestamp, departure_port_name string, reported_draught int, "
     "trip_id string, log_file string, log_block bigint, log_line bigint, "
-    "reject_reason string, is_rejected boolean")
+    "reject_reason string")
 
 
 def sort_partitions(spark: SparkSession, size: int) -> int:
@@ -37,20 +37,21 @@ def in_event_time_order(df: DataFrame, *tie_break: str, partitions: int | None =
     """Range-partitioned and sorted by time, with the position in that order as ``arrival``.
 
     The tie-break belongs to the partitioning too: a single minute that holds a large part
-    of the log is then split over partitions like any other range.
+    of the log is then split over partitions like any other range. The day leads the sort,
+    which changes nothing in the order but spares the writer a sort of its own.
     """
     size = [partitions] if partitions else []
-    return (df.repartitionByRange(*size, "ts", *tie_break)
-            .sortWithinPartitions("ts", *tie_break)
+    return (df.withColumn("event_date", F.to_date("ts"))
+            .repartitionByRange(*size, "ts", *tie_break)
+            .sortWithinPartitions("event_date", "ts", *tie_break)
             .withColumn("arrival", F.monotonically_increasing_id()))
 
 
 def write_positions(ordered: DataFrame, path: str) -> DataFrame:
-    """Store an ordered frame once; an already complete table is left as it is."""
+    """Store an ordered frame by day, once; an already complete table is left as it is."""
     spark = ordered.sparkSession
     if not is_complete(spark, path):
-        (ordered.withColumn("event_date", F.to_date("ts"))
-         .write.mode("overwrite").option("compression", CODEC)
+        (ordered.write.mode("overwrite").option("compression", CODEC)
          .partitionBy("event_date").parquet(path))
     return spark.read.parquet(path)
 
@@ -68,26 +69,29 @@ def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "U
            draught_compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """Raw log to (positions, rejects), both stored under ``out_dir``.
 
-    The text is parsed once, into a staged table split by outcome: range partitioning
-    samples its input, and rejects need it too, so both read the staged columns instead of
-    the text.
+    The text is parsed once, into a staged table: range partitioning samples its input, and
+    rejects need it too, so both read the staged columns instead of the text. Row groups
+    without rejects are skipped when reading those.
     """
     staged, positions = f"{out_dir}/staged", f"{out_dir}/positions"
     if not is_complete(spark, staged):
         parsed = raw_csv.parse(raw_csv.scan(spark, csv_path), source_tz, draught_compat)
-        (parsed.withColumn("is_rejected", F.col("reject_reason").isNotNull())
-         .write.mode("overwrite").option("compression", CODEC)
-         .partitionBy("is_rejected").parquet(staged))
+        parsed.write.mode("overwrite").option("compression", CODEC).parquet(staged)
     stored = spark.read.schema(STAGED_SCHEMA).parquet(staged)
-    rejects = stored.where("is_rejected").drop("is_rejected")
+    rejects = raw_csv.rejected(stored)
     if is_complete(spark, positions):
         return spark.read.parquet(positions), rejects
-    good = stored.where(~F.col("is_rejected")).drop("reject_reason", "is_rejected")
-    good = good.join(numbered_logs(good), "log_file").drop("log_file")
+    good = raw_csv.accepted(stored)
+    return _store_in_order(good, stored_bytes(spark, staged), positions), rejects
+
+
+def _store_in_order(records: DataFrame, size: int, path: str) -> DataFrame:
+    """Number records by time and place in the log, and store them by day."""
+    records = records.join(numbered_logs(records), "log_file").drop("log_file")
     place = ("log_number", "log_block", "log_line")
-    partitions = sort_partitions(spark, stored_bytes(spark, staged))
-    ordered = in_event_time_order(good, *place, partitions=partitions).drop(*place)
-    return write_positions(ordered, positions), rejects
+    partitions = sort_partitions(records.sparkSession, size)
+    return write_positions(
+        in_event_time_order(records, *place, partitions=partitions).drop(*place), path)
 
 
 def replay_numbers(positions: DataFrame) -> DataFrame:
@@ -122,7 +126,7 @@ def to_text_log(positions: DataFrame) -> DataFrame:
     return positions.select(F.concat_ws(",", *fields).alias("value"))
 
 
-def from_text_log(lines: DataFrame) -> DataFrame:
+def from_text_log(lines: DataFrame, *extra: str) -> DataFrame:
     """The reverse of ``to_text_log``. Spark parses no day names, so the first four
     characters of the time are skipped; the date says the same."""
     f = F.split("value", ",")
@@ -132,4 +136,14 @@ def from_text_log(lines: DataFrame) -> DataFrame:
     return lines.select(*[
         (F.to_timestamp(F.substring(f[i], 5, 64), TEXT_LOG_PATTERN[4:]) if kind is None
          else f[i].cast(kind)).alias(name)
-        for i, (name, kind) in enumerate(casts.items())])
+        for i, (name, kind) in enumerate(casts.items())], *extra)
+
+
+def import_text_log(spark: SparkSession, path: str, out_dir: str) -> DataFrame:
+    """An already normalised text log to stored positions."""
+    positions = f"{out_dir}/positions"
+    if is_complete(spark, positions):
+        return spark.read.parquet(positions)
+    lines = raw_csv.with_place(spark.read.text(path))
+    records = from_text_log(lines, *raw_csv.LOG_ORDER)
+    return _store_in_order(records, stored_bytes(spark, path), positions)

@@ -15,22 +15,23 @@ from tidegrid.schema import RAW_SCHEMA
 LOG_ORDER = ("log_file", "log_block", "log_line")
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """The raw fields as text, and each line's place in the log.
-
-    ``log_line`` grows along the lines of one file block, so with file and block it orders
-    the whole log without a sort.
-    """
-    raw = (spark.read.schema(RAW_SCHEMA)
-           .option("header", True).option("quote", "").option("mode", "PERMISSIVE")
-           .csv(path))
-    return raw.select(
+def with_place(lines: DataFrame) -> DataFrame:
+    """Add each line's place in the log. ``log_line`` grows along the lines of one file
+    block, so with file and block it orders the whole log without a sort."""
+    return lines.select(
         "*",
         F.col("_metadata.file_path").alias("log_file"),
         F.col("_metadata.file_block_start").alias("log_block"),
         F.monotonically_increasing_id().alias("log_line"))
 
 
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """The raw fields as text, and each line's place in the log."""
+    return with_place(spark.read.schema(RAW_SCHEMA)
+                      .option("header", True).option("quote", "")
+                      .option("mode", "PERMISSIVE").csv(path))
+
+
 def parse_timestamp(text: Column, source_tz: str = "UTC") -> Column:
     """Day-first text with slashes or dashes and a year of two or four digits. The pattern
     is picked by looking, because a failed parse costs far more than a good one."""

@@ -18,7 +18,9 @@ from tidegrid.session import is_complete
 SENTINEL_YEAR = 9999
 SENTINEL = (f"'' ship_id, TIMESTAMP '{SENTINEL_YEAR}-01-01' ts, CAST(0 AS INT) shiptype, "
             "CAST(40.0 AS DOUBLE) lat, CAST(5.0 AS DOUBLE) lon, CAST(-1 AS BIGINT) arrival")
-FEED_COLUMNS = ("ship_id", "ts", "shiptype", "lat", "lon", "arrival")
+FEED_SCHEMA = ("ship_id string, ts timestamp, shiptype int, lat double, lon double, "
+               "arrival bigint")
+FEED_COLUMNS = tuple(field.split()[0] for field in FEED_SCHEMA.split(", "))
 
 
 def append(rows: DataFrame, feed: str) -> None:
@@ -58,6 +60,5 @@ def publish(positions: DataFrame, feed: str) -> str:
 
 
 def read_feed(spark: SparkSession, feed: str, max_files_per_trigger: int = 64) -> DataFrame:
-    schema = spark.read.parquet(feed).schema
-    return (spark.readStream.schema(schema)
+    return (spark.readStream.schema(FEED_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(feed))
