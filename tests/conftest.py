@@ -47,7 +47,8 @@ def rows(df, *columns):
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    simple = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return df._jdf.queryExecution().explainString(simple)
 
 
 def shuffled_records(df) -> list[int]:

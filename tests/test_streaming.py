@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import Observation, functions as F
 
-from conftest import rows
+from conftest import plan_of, rows
 from tidegrid import metrics, sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
+from tidegrid.operators import aggregates
 from tidegrid.plans import job as batch_job, q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.sources import events, normalized, replay
@@ -52,6 +53,7 @@ def test_q1_equals_batch_without_drops(spark, table, feed, days):
     assert len(query.recentProgress) > 3
     assert metrics.late_rows(query) == 0
     assert rows(out) == rows(q1.q1(table, days))
+    assert "ship_id" not in query._jsq.explainInternal(False)     # pruned from the scan
 
 
 @pytest.mark.parametrize("days", [WEEK_DAYS, MONTH_DAYS])
@@ -66,6 +68,15 @@ def test_changelog_equals_batch(spark, table, feed):
     assert rows(out) == rows(q2.q2_changelog(q2.stored_slot_totals(table, WEEK_DAYS), WEEK_DAYS))
 
 
+def test_streams_hash_aggregate(spark, feed):
+    rows_ = stream(spark, feed)
+    for df in (reports.stream_q1(rows_, WEEK_DAYS),
+               aggregates.rollup(reports.with_watermark(rows_), WEEK_DAYS)):
+        plan = plan_of(df)
+        assert "StateStoreSave" in plan and "SortAggregate" not in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_late_rows(spark, positions, tmp_path):
     """After the watermark has passed the first week, a row for it is dropped; a row that is
     older than the watermark but lies in an open week still counts."""
