@@ -8,7 +8,7 @@ from tidegrid.operators import aggregates
 from tidegrid.plans import job as batch_job, q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.sources import events, normalized, replay
-from tidegrid.streaming import changelog, job, reports, runner
+from tidegrid.streaming import cumulative, job, reports, runner
 
 WEST = (40.0, 5.0)
 SF = "/root/testdata/sf0.001"
@@ -63,9 +63,11 @@ def test_q2_equals_batch(spark, table, feed, days):
     assert rows(out, *batch.columns) == rows(batch)
 
 
-def test_changelog_equals_batch(spark, table, feed):
-    out = changelog.run_changelog(stream(spark, feed), WEEK_DAYS)
-    assert rows(out) == rows(q2.q2_changelog(q2.stored_slot_totals(table, WEEK_DAYS), WEEK_DAYS))
+@pytest.mark.parametrize("report, plan", [
+    ("changelog", q2.q2_changelog), ("emissions", q2.q2_emissions)])
+def test_cumulative_equals_batch(spark, table, feed, report, plan):
+    out = cumulative.run_cumulative(stream(spark, feed), WEEK_DAYS, report)
+    assert rows(out) == rows(plan(q2.stored_slot_totals(table, WEEK_DAYS), WEEK_DAYS))
 
 
 def test_streams_hash_aggregate(spark, feed):
@@ -136,16 +138,19 @@ def test_both_periods_together(spark, table, feed, tmp_path):
         for report, schema in (("q1", Q1_RENDERED_SCHEMA), ("q2", Q2_RENDERED_SCHEMA)):
             lines = sinks.read_lines(spark, f"{out}/{name}/{report}", schema)
             assert rows(lines) == rows(batch[f"{report}_{name}"])
-        changes = q2.q2_changelog(q2.stored_slot_totals(table, days), days)
-        assert rows(changelog.read_changelog(spark, f"{out}/{name}")) == rows(changes)
+        stored = q2.stored_slot_totals(table, days)
+        for report, plan in (("changelog", q2.q2_changelog), ("emissions", q2.q2_emissions)):
+            found = cumulative.read_report(spark, f"{out}/{name}", report)
+            assert rows(found) == rows(plan(stored, days))
 
 
 def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
     out = str(tmp_path / "out")
-    totals = q2.stored_slot_totals(table, WEEK_DAYS).select("window_start", "cell", "am", "pm")
+    totals = q2.stored_slot_totals(table, WEEK_DAYS)
     second = sorted(r[0] for r in totals.select("window_start").distinct().collect())[1]
     first = totals.where(F.col("window_start") <= second)
     rest = totals.where(F.col("window_start") > second)
     for closed, batch_id in ((first, 1), (rest, 4), (rest, 4), (first, 1)):
-        changelog.record_changes(closed, batch_id, WEEK_DAYS, out)
-    assert rows(changelog.read_changelog(spark, out)) == rows(q2.q2_changelog(totals, WEEK_DAYS))
+        cumulative.record_windows(closed, batch_id, WEEK_DAYS, out)
+    assert (rows(cumulative.read_report(spark, out, "changelog"))
+            == rows(q2.q2_changelog(totals, WEEK_DAYS)))

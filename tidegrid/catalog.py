@@ -21,7 +21,7 @@ from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
 from tidegrid.sources import events, normalized, raw_csv, replay
-from tidegrid.streaming import changelog, job as stream_job, reports, runner
+from tidegrid.streaming import cumulative, job as stream_job, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,9 +257,10 @@ def stream_q2_top3(days: int) -> Query:
     return query
 
 
-def stream_q2_changelog(days: int) -> Query:
+def stream_cumulative(report: str, days: int) -> Query:
     def query(spark, sf_dir):
-        return _naive(changelog.run_changelog(feed(spark, sf_dir), days), "window_start")
+        rows = cumulative.run_cumulative(feed(spark, sf_dir), days, report)
+        return _naive(rows, "window_start")
     return query
 
 
@@ -385,8 +386,10 @@ QUERIES: dict[str, Query] = {
     "stream_q1_month": stream_q1(MONTH_DAYS),
     "stream_q2_week_top3": stream_q2_top3(WEEK_DAYS),
     "stream_q2_month_top3": stream_q2_top3(MONTH_DAYS),
-    "stream_q2_changelog": stream_q2_changelog(WEEK_DAYS),
-    "stream_q2_changelog_month": stream_q2_changelog(MONTH_DAYS),
+    "stream_q2_changelog": stream_cumulative("changelog", WEEK_DAYS),
+    "stream_q2_changelog_month": stream_cumulative("changelog", MONTH_DAYS),
+    "stream_q2_emissions": stream_cumulative("emissions", WEEK_DAYS),
+    "stream_q2_emissions_month": stream_cumulative("emissions", MONTH_DAYS),
     "stream_fanout_q1_week": stream_fanout("week", "q1", Q1_RENDERED_SCHEMA),
     "stream_fanout_q1_month": stream_fanout("month", "q1", Q1_RENDERED_SCHEMA),
     "stream_fanout_q2_week": stream_fanout("week", "q2", Q2_RENDERED_SCHEMA),

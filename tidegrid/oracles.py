@@ -228,6 +228,8 @@ SELECT window_start, sector, last_shiptype FROM q""",
     "stream_q2_month_top3": top3(MONTH_DAYS),
     "stream_q2_changelog": changelog(WEEK_DAYS),
     "stream_q2_changelog_month": changelog(MONTH_DAYS),
+    "stream_q2_emissions": emissions(WEEK_DAYS),
+    "stream_q2_emissions_month": emissions(MONTH_DAYS),
     "stream_fanout_q1_week": q1_rendered(WEEK_DAYS),
     "stream_fanout_q1_month": q1_rendered(MONTH_DAYS),
     "stream_fanout_q2_week": q2_rendered(WEEK_DAYS),

@@ -17,7 +17,7 @@ from tidegrid.operators.aggregates import rollup
 from tidegrid.operators.ranking import top_sectors
 from tidegrid.plans import q1, q2
 from tidegrid.sources import replay
-from tidegrid.streaming import changelog, runner
+from tidegrid.streaming import cumulative, runner
 from tidegrid.streaming.reports import with_watermark
 
 PERIODS = {"week": WEEK_DAYS, "month": MONTH_DAYS}
@@ -25,8 +25,8 @@ PERIODS = {"week": WEEK_DAYS, "month": MONTH_DAYS}
 
 def start_period(positions: DataFrame, days: int, out: str, slot_tz: str = "UTC",
                  finite: bool = False) -> StreamingQuery:
-    """Write the literal rows of Q1 and Q2 to ``out/q1`` and ``out/q2`` and the cumulative
-    changelog to ``out/changelog``."""
+    """Write the literal rows of Q1 and Q2 to ``out/q1`` and ``out/q2``, and the cumulative
+    rankings to ``out/changelog`` and ``out/emissions``."""
     def write_reports(closed: DataFrame, batch_id: int) -> None:
         rows = {"q1": q1.rendered(q1.report(closed.where("west"), days)),
                 "q2": q2.q2_rendered(top_sectors(closed))}
@@ -34,8 +34,9 @@ def start_period(positions: DataFrame, days: int, out: str, slot_tz: str = "UTC"
             (sinks.as_lines(report).write.mode("overwrite")
              .text(f"{out}/{name}/batch={batch_id}"))
         per_sector = closed.groupBy("window_start", "cell").agg(
-            F.sum("am").alias("am"), F.sum("pm").alias("pm"))
-        changelog.record_changes(per_sector, batch_id, days, out)
+            F.sum("am").alias("am"), F.sum("pm").alias("pm"),
+            F.max_by("west", "last_arrival").alias("last_west"))
+        cumulative.record_windows(per_sector, batch_id, days, out)
 
     totals = rollup(with_watermark(positions), days, slot_tz).drop("window")
     return runner.start_closed_windows(totals, write_reports, f"{out}/checkpoint", finite)
