@@ -99,6 +99,14 @@ def test_ingest_orders_by_time_then_place_in_the_log(spark, log, tmp_path):
     assert rows(days) == [("2015-03-04",), ("2015-03-05",), ("2015-03-06",)]
 
 
+def test_many_files_join_by_shuffle(spark, log, tmp_path, monkeypatch):
+    monkeypatch.setattr(normalized, "MAX_BROADCAST_FILES", 1)
+    log(line(trip="a"), line(trip="b"), name="1.csv")
+    path = log(line(trip="c"), line(trip="d"), name="2.csv")
+    good, _ = normalized.ingest(spark, path, str(tmp_path / "out"))
+    assert [r.trip_id for r in good.orderBy("arrival").collect()] == ["a", "b", "c", "d"]
+
+
 def test_one_hot_minute_spreads_over_partitions(spark):
     df = spark.range(20000).select(
         F.lit(at("2015-03-05 10:00")).cast("timestamp").alias("ts"), F.col("id").alias("event_id"))

@@ -58,17 +58,37 @@ def top_sectors_by_list(slot_totals: DataFrame, top_n: int = TOP_N) -> DataFrame
                     sea_name(F.col("west")).alias("sea"), F.inline("best")))
 
 
+def _sectors_in_rank_order(entry: Column) -> Column:
+    return rank_list(F.array_sort(F.collect_list(entry))["sector"])
+
+
 def rank_lists(ranked: DataFrame, keys: list[str]) -> DataFrame:
     """Both slots of a window side by side, each as a rendered list such as ``{I34, D20}``."""
     def in_slot(slot: str) -> Column:
         # collect_list skips the nulls that stand for the other slot
-        entry = F.when(F.col("slot") == slot, F.struct("rank", "sector"))
-        return rank_list(F.array_sort(F.collect_list(entry))["sector"])
+        return _sectors_in_rank_order(
+            F.when(F.col("slot") == slot, F.struct("rank", "sector")))
 
     return (ranked.groupBy(*keys)
             .agg(in_slot(SLOT_AM).alias("rank_a"), in_slot(SLOT_PM).alias("rank_p")))
 
 
+def changed_lists(ranked: DataFrame) -> DataFrame:
+    """The rank lists of those windows in which either differs from the window before."""
+    per_slot = ranked.groupBy("window_start", "slot").agg(
+        _sectors_in_rank_order(F.struct("rank", "sector")).alias("list"))
+    before = F.lag("list").over(Window.partitionBy("slot").orderBy("window_start"))
+    compared = per_slot.withColumn("changed", ~F.col("list").eqNullSafe(before))
+
+    def in_slot(slot: str) -> Column:
+        return F.max(F.when(F.col("slot") == slot, F.col("list")))
+
+    return (compared.groupBy("window_start")
+            .agg(in_slot(SLOT_AM).alias("rank_a"), in_slot(SLOT_PM).alias("rank_p"),
+                 F.bool_or("changed").alias("changed"))
+            .where("changed").drop("changed"))
+
+
 def cumulative_scores(slot_totals: DataFrame, days: int) -> DataFrame:
     """Score of every sector seen so far, in every window that has data.
 
@@ -106,19 +126,6 @@ def cumulative_top(slot_totals: DataFrame, days: int, suppress_first: bool = Tru
     return _top(scores, ["window_start", "slot"], "score", top_n)
 
 
-def changes(lists: DataFrame) -> DataFrame:
-    """Windows whose rank lists differ from those of the window before.
-
-    The window needs no partition key: its input has one row per event-time window, so 53
-    rows for a year of data of any size.
-    """
-    row = F.struct("rank_a", "rank_p")
-    before = F.lag(row).over(Window.orderBy("window_start"))
-    return (lists.withColumn("before", before)
-            .where(~row.eqNullSafe(F.col("before")))
-            .drop("before"))
-
-
 def emissions(slot_totals: DataFrame, days: int, suppress_first: bool = True,
               top_n: int = TOP_N) -> DataFrame:
     """The cumulative ranking as it changes while the sectors of a window report in turn.

@@ -15,7 +15,7 @@ from tidegrid.constants import SLOT_AM, SLOT_PM
 from tidegrid.functions import window_label
 from tidegrid.operators.aggregates import slot_totals, slot_totals_with_sea
 from tidegrid.operators.ranking import (
-    changes, cumulative_top, emissions, rank_lists, top_sectors)
+    changed_lists, cumulative_top, emissions, rank_lists, top_sectors)
 from tidegrid.session import materialize
 
 
@@ -49,8 +49,7 @@ def q2_cumulative(stored: DataFrame, days: int, suppress_first: bool = True) ->
 def q2_changelog(stored: DataFrame, days: int, suppress_first: bool = True) -> DataFrame:
     """Cumulative rank lists of the windows in which they changed. The first window is
     left out before comparing, so the second always reports."""
-    lists = rank_lists(q2_cumulative(stored, days, suppress_first), ["window_start"])
-    return changes(lists)
+    return changed_lists(q2_cumulative(stored, days, suppress_first))
 
 
 def q2_emissions(stored: DataFrame, days: int, suppress_first: bool = True) -> DataFrame:

@@ -19,6 +19,9 @@ PARTITION_BITS = 33
 SORT_PARTITION_BYTES = 64 << 20
 MAX_SORT_PARTITIONS = 20_000
 
+# About 100 MB of names and numbers on each executor.
+MAX_BROADCAST_FILES = 500_000
+
 CODEC = "zstd"
 STAGED_SCHEMA = (
     "ship_id string, shiptype int, speed double, lon double, lat double, course int, "
@@ -56,13 +59,20 @@ def write_positions(ordered: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def numbered_logs(staged: DataFrame) -> DataFrame:
-    """A short number for each log file, in the order of their names: a path in every row
-    would be the larger part of what the sort shuffles."""
-    files = staged.select("log_file").distinct()
-    by_name = Window.orderBy("log_file")       # one row per file
-    return materialize(files.withColumn("log_number", F.row_number().over(by_name)),
-                       "log-files")
+def with_log_number(records: DataFrame) -> DataFrame:
+    """Replace the path of the log file by a short number in the order of the names: a path
+    in every row would be the larger part of what the sort shuffles.
+
+    The list of files, one row each, is counted before it is broadcast. A longer one joins
+    by shuffle, where adaptive execution splits a file that holds very many rows.
+    """
+    files = (records.select("log_file").distinct()
+             .repartitionByRange("log_file").sortWithinPartitions("log_file"))
+    numbers = materialize(files.withColumn("log_number", F.monotonically_increasing_id()),
+                          "log-files")
+    if numbers.count() <= MAX_BROADCAST_FILES:
+        numbers = F.broadcast(numbers)
+    return records.join(numbers, "log_file").drop("log_file")
 
 
 def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "UTC",
@@ -87,11 +97,10 @@ def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "U
 
 def _store_in_order(records: DataFrame, size: int, path: str) -> DataFrame:
     """Number records by time and place in the log, and store them by day."""
-    records = records.join(numbered_logs(records), "log_file").drop("log_file")
     place = ("log_number", "log_block", "log_line")
     partitions = sort_partitions(records.sparkSession, size)
-    return write_positions(
-        in_event_time_order(records, *place, partitions=partitions).drop(*place), path)
+    ordered = in_event_time_order(with_log_number(records), *place, partitions=partitions)
+    return write_positions(ordered.drop(*place), path)
 
 
 def replay_numbers(positions: DataFrame) -> DataFrame:
@@ -99,7 +108,7 @@ def replay_numbers(positions: DataFrame) -> DataFrame:
 
     ``arrival`` holds the range partition and the place within it; only the sizes of the
     partitions before are missing. They come from a count per partition: one row for each
-    partition the table was written from, whatever it holds.
+    partition the table was written from, so ``MAX_SORT_PARTITIONS`` rows at most.
     """
     partition = F.shiftright("arrival", PARTITION_BITS)
     sizes = positions.groupBy(partition.alias("part")).agg(F.count(F.lit(1)).alias("size"))

@@ -4,7 +4,8 @@ Spark reads new files by modification time. All files of one write have about th
 time, so a table written in one go would be read out of event-time order and rows would be
 dropped as late. The feed is therefore written day by day, oldest day first, each day in
 parallel. Within a day order does not matter: every window ends on a UTC day boundary, so
-no row of a day can be late because of another row of that day.
+no row of a day can be late because of another row of that day. (The store must tell the
+times of two appends apart; one that keeps whole seconds needs appends longer than that.)
 """
 
 from __future__ import annotations
