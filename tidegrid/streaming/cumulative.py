@@ -7,6 +7,8 @@ worked out from that table with the batch plans.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,7 +29,8 @@ REPORTS = {
 }
 
 
-def record_windows(closed: DataFrame, batch_id: int, days: int, out: str) -> None:
+def record_windows(closed: DataFrame, batch_id: int, days: int, out: str,
+                   reports: Iterable[str] = tuple(REPORTS)) -> None:
     """Add the slot counts of closed windows to ``out/history`` and write what they bring to
     the rankings to a folder per report.
 
@@ -39,17 +42,19 @@ def record_windows(closed: DataFrame, batch_id: int, days: int, out: str) -> Non
     so_far = (spark.read.schema(f"{TOTALS_SCHEMA}, batch bigint").parquet(f"{out}/history")
               .where(F.col("batch") <= batch_id))
     new = so_far.where(F.col("batch") == batch_id).select("window_start").distinct()
-    for name, (plan, _) in REPORTS.items():
+    for name in reports:
+        plan, _ = REPORTS[name]
         (plan(so_far.drop("batch"), days).join(new, "window_start", "left_semi")
          .write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}"))
 
 
-def start_cumulative(positions: DataFrame, days: int, out: str,
-                     slot_tz: str = "UTC", finite: bool = True) -> StreamingQuery:
+def start_cumulative(positions: DataFrame, days: int, out: str, slot_tz: str = "UTC",
+                     finite: bool = True,
+                     reports: Iterable[str] = tuple(REPORTS)) -> StreamingQuery:
     totals = slot_totals_with_sea(with_watermark(positions), days, slot_tz)
     return start_closed_windows(
         totals.select(*TOTALS),
-        lambda closed, batch_id: record_windows(closed, batch_id, days, out),
+        lambda closed, batch_id: record_windows(closed, batch_id, days, out, reports),
         f"{out}/checkpoint", finite)
 
 
@@ -61,5 +66,5 @@ def read_report(spark: SparkSession, out: str, name: str) -> DataFrame:
 def run_cumulative(positions: DataFrame, days: int, name: str) -> DataFrame:
     """Run over all that is available and give one of the reports."""
     out = new_workspace(positions.sparkSession, f"cumulative-{days}")
-    start_cumulative(positions, days, out).awaitTermination()
+    start_cumulative(positions, days, out, reports=(name,)).awaitTermination()
     return read_report(positions.sparkSession, out, name)
