@@ -11,8 +11,9 @@ from tidegrid.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[4]", {
+        "spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(),
         "spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g", "spark.sql.maxMetadataStringLength": "2000"})
     session.sparkContext.setLogLevel("ERROR")

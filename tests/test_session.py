@@ -8,7 +8,7 @@ from tidegrid import session
 
 def fake(master, **conf):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default)),
+        conf=SimpleNamespace(get=lambda key, default=None: conf.get(key.replace(".", "_"), default)),
         sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
 
 
@@ -18,14 +18,10 @@ def test_shared_folder_comes_from_the_session():
     assert session.new_workspace(spark, "x").startswith("hdfs:///work/x-")
 
 
-def test_a_cluster_without_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError):
-        session.shared_root(fake("yarn"))
-
-
-def test_local_mode_falls_back_to_one_folder():
-    spark = fake("local[2]")
-    assert session.shared_root(spark) == session.shared_root(spark)
+@pytest.mark.parametrize("master", ["yarn", "local[2]", "local-cluster[2,1,1024]"])
+def test_without_the_setting_the_folder_lies_below_the_warehouse(master):
+    found = session.shared_root(fake(master, spark_sql_warehouse_dir="hdfs:///warehouse/"))
+    assert found == "hdfs:///warehouse/_tidegrid"
 
 
 def test_stored_frames_read_back_and_are_complete(spark):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_local_workspaces: dict[str, str] = {}
-
-
 def build_session(app_name: str = "tidegrid", master: str | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -38,19 +34,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting falls back to a temporary folder.
-    """
+    """Folder that every executor sees: ``spark.checkpoint.dir``, or one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    app_id = spark.sparkContext.applicationId
-    if app_id not in _local_workspaces:
-        _local_workspaces[app_id] = tempfile.mkdtemp(prefix="tidegrid-")
-    return _local_workspaces[app_id]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidegrid"
 
 
 def new_workspace(spark: SparkSession, name: str) -> str:
