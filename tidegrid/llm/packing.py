@@ -20,15 +20,18 @@ read.
 from __future__ import annotations
 
 import functools
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, functions as F
 
+from tidegrid.llm import chunks
 from tidegrid.llm.shipping import ship
+from tidegrid.llm.words import hashed_words
 from tidegrid.session import materialize
 
 CAPACITY = 4096
@@ -37,44 +40,93 @@ SLACK = 1
 LOCAL_ITEMS = 200_000
 MERGE_ITEMS = 100_000
 LEAST_GAIN = 0.002
-CACHED_WORDS = 700_000
+TEXT_BYTES = 8 << 20
+CACHED_PARTS = 900_000
+CACHED_WORDS = 300_000
 
 _PIECE = "piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_load long"
 _MOVE = "bin long, into long, at long, load long"
 
 
 class Tokens:
-    """Token ids of texts, white-space-separated parts remembered.
+    """Token ids of texts. Each distinct white-space-separated part of a batch is looked up once.
 
-    The tokenizer's rules never reach across white space, so a text's ids are those of its parts.
-    A control character that only Python takes for white space sends the text through whole.
+    The tokenizer's rules never reach across white space, so a text's ids are those of its parts,
+    and a part's ids are those of the words it is split into. New parts of Latin-1 characters,
+    on which normalisation only means lower case, are split here and their words are given to
+    the tokenizer's model; all other new parts go through the whole tokenizer. Parts are told
+    apart by 64-bit hashes.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        for text in texts:
-            if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                yield self._encode([text])[0]
-                continue
-            parts = text.split()
-            new = list(dict.fromkeys(p for p in parts if p not in self.known))
-            if not new:
-                yield b"".join(map(self.known.__getitem__, parts))
-            elif len(self.known) + len(new) <= CACHED_WORDS:
-                self.known.update(zip(new, self._encode(new)))
-                yield b"".join(map(self.known.__getitem__, parts))
-            else:
-                own = dict(zip(new, self._encode(new)))
-                yield b"".join(self.known.get(p) or own.get(p, b"") for p in parts)
+        rules = json.loads(self.tokenizer.to_str())
+        self.split = None
+        if _is_simple(rules):
+            self.split = regex.compile(rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.special = [t["content"] for t in rules["added_tokens"]]
+        self.parts: dict[int, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(_SHOWN)
+        ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+        if len(self.words) < CACHED_WORDS:
+            self.words[word] = ids
+        return ids
+
+    def _part(self, name: int, part: str) -> bytes:
+        if self.split is None or max(part) > "\xff" or any(s in part for s in self.special):
+            ids = self._whole(part)
+        else:
+            known = self.words.get
+            ids = b"".join(known(w) or self._word(w) for w in self.split(part.lower()))
+        if len(self.parts) < CACHED_PARTS:
+            self.parts[name] = ids
+        return ids
+
+    def ids(self, column: pa.Array) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text of a column."""
+        data, starts, ends, hashes, first = hashed_words(column)
+        names, index, place = np.unique(hashes, return_index=True, return_inverse=True)
+        names = names.tolist()
+        found = list(map(self.parts.get, names))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            at = index[i]
+            found[i] = self._part(names[i], data[starts[at]:ends[at]].tobytes().decode())
+        sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+        distinct = np.frombuffer(b"".join(found), "<u4")
+        counts = sizes[place]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        shift = (np.cumsum(sizes) - sizes)[place] - before[:-1]
+        ids = distinct[np.repeat(shift, counts) + np.arange(before[-1])]
+        for a, b in zip(before[first[:-1]].tolist(), before[first[1:]].tolist()):
+            yield ids[a:b].tobytes()
+
+
+def _is_simple(rules: dict) -> bool:
+    """Whether the tokenizer only composes, lowers, splits by a pattern and merges bytes."""
+    normalizers = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+    steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (normalizers == ["NFC", "Replace", "Lowercase"]
+            and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+            and "Regex" in steps[0]["pattern"] and steps[0]["invert"] and steps[0]["behavior"] == "Removed"
+            and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"])
+
+
+def _shown_bytes() -> dict[int, int]:
+    """The printable character by which byte-level models show each byte."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: b if b in plain else next(others) for b in range(256)}
+
+
+_SHOWN = _shown_bytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -112,17 +164,17 @@ def _pieces(path: str, end_token: int, capacity: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, n_bins, part = [], 0, 0, None
-        for batch in batches:
-            part = batch.column("part")[0].as_py() if batch.num_rows and part is None else part
+        for table in chunks.pieces(batches, "text", TEXT_BYTES):
+            part = table.column("part")[0].as_py() if part is None else part
             rows, numbers = [], []
-            texts = pc.fill_null(batch.column("text"), "").to_pylist()
-            for row, ids in enumerate(_tokens(path).ids(texts)):
+            tokens = _tokens(path).ids(table.column("text"))
+            for row, ids in enumerate(tokens):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
                     own = ids[4 * start:4 * (start + capacity)]
                     rows.append(row)
                     numbers.append((piece, start, len(own) // 4, zlib.crc32(own)))
-            held.append((batch.column("id").take(pa.array(rows, pa.int64())), numbers))
+            held.append((table.column("id").combine_chunks().take(pa.array(rows, pa.int64())), numbers))
             size += len(numbers)
             if size >= LOCAL_ITEMS:
                 out, n_bins = _packed(held, capacity, part, n_bins)

@@ -98,14 +98,19 @@ def word_places(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(column, separators: np.ndarray = WHITE, lower: bool = False):
-    """A hash for each word of a column, and the number of words before each row."""
+def hashed_words(column, separators: np.ndarray = WHITE, lower: bool = False):
+    """All bytes, the words' starts, ends and hashes, and the number of words before each row."""
     data, offsets = flat(column, lower)
     starts, ends, first = word_places(data, offsets, separators)
     hashes = _window_sums(_byte_values()[data] if len(data) <= 4 * BLOCK else _Lazy(data),
                           starts, ends, _BYTE_BASE)
     hashes += (ends - starts).astype(np.uint64)
-    return mixed(hashes), first
+    return data, starts, ends, mixed(hashes), first
+
+
+def word_hashes(column, separators: np.ndarray = WHITE, lower: bool = False):
+    """A hash for each word of a column, and the number of words before each row."""
+    return hashed_words(column, separators, lower)[3:]
 
 
 class _Lazy:
