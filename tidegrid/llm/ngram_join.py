@@ -35,10 +35,15 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 MOST_HASHES = 80
 BLOCK = 512
+TEXT_BYTES = 4 << 20
 SET_MASK = np.uint64((1 << 48) - 1)
 
 _SIGNED = "uid long, key1 long, key2 long, n_words long, bands array<long>"
+_MEETS = "band int, bucket long, i int, j int, block int, node long"
+_MEETING = pa.schema([("band", pa.int32()), ("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()),
+                      ("block", pa.int32()), ("node", pa.int64())])
 _LINKS = "node long, least long, links long"
+_LINKED = pa.schema([("node", pa.int64()), ("least", pa.int64()), ("links", pa.int64())])
 
 
 def banding(threshold: float, recall: float, most_hashes: int) -> tuple[int, int]:
@@ -79,7 +84,7 @@ def _band_hashes(found: np.ndarray, first: np.ndarray, bands: int, rows: int) ->
 
 def _signer(text: str, n: int, bands: int, rows: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks.pieces(batches, text):
+        for table in chunks.pieces(batches, text, TEXT_BYTES):
             hashes, first = word_hashes(table.column(text), NON_WORD, lower=True)
             counts = np.diff(first)
             filled = np.flatnonzero(counts)
@@ -98,7 +103,7 @@ def _signer(text: str, n: int, bands: int, rows: int):
 
 def _sets(text: str, n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks.pieces(batches, text):
+        for table in chunks.pieces(batches, text, TEXT_BYTES):
             found, first = shingles(*word_hashes(table.column(text), NON_WORD, lower=True), n)
             found &= SET_MASK
             blocks = [chunks.coded(np.unique(found[a:b])) for a, b in zip(first[:-1], first[1:])]
@@ -129,22 +134,29 @@ def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def _verify(cell: list[dict], threshold: float) -> Iterator[dict]:
-    """Links of the texts of one cell: how many rows each is linked to, and an edge."""
-    if len(cell) < 2:
-        return
+def _due(cell: list[dict]) -> np.ndarray:
+    """Which pairs of a cell meet here first: they share its band and none before it."""
     bands = np.array([r["bands"] for r in cell])
     band, first, second = cell[0]["band"], cell[0]["i"], cell[0]["j"]
-    block = np.array([r["block"] for r in cell])
     due = np.zeros((len(cell), len(cell)), bool)
     for x in range(len(cell)):
         due[x] = (bands[x] == bands).argmax(axis=1) == band
-    due &= bands[:, band][:, None] == bands[:, band][None, :]
     if first != second:
+        block = np.array([r["block"] for r in cell])
         due &= block[:, None] != block[None, :]
     np.fill_diagonal(due, False)
-    if not due.any():
-        return
+    return due
+
+
+def _meet(cell: list[dict]) -> Iterator[dict]:
+    """The texts of a cell that have a pair to verify in it."""
+    for x in np.flatnonzero(_due(cell).any(axis=1)).tolist():
+        yield {k: cell[x][k] for k in ("band", "bucket", "i", "j", "block", "node")}
+
+
+def _verify(cell: list[dict], threshold: float) -> Iterator[dict]:
+    """Links of the texts of one cell: how many rows each is linked to, and an edge."""
+    due = _due(cell)
     sets = [chunks.decoded(r["grams"], np.uint64) for r in cell]
     sizes = np.array([len(s) for s in sets])
     shared = _shared_counts(sets)
@@ -163,22 +175,23 @@ def _verify(cell: list[dict], threshold: float) -> Iterator[dict]:
         yield {"node": int(nodes[x]), "least": int(label[x]), "links": int(copies[linked[x]].sum())}
 
 
-def _verifier(threshold: float):
-    schema = pa.schema([("node", pa.int64()), ("least", pa.int64()), ("links", pa.int64())])
-
+def _by_cell(work, schema: pa.Schema):
+    """Runs ``work`` on each cell of partitions that are sorted by cell."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, cell, out = None, [], []
         for batch in batches:
             for row in batch.to_pylist():
                 key = (row["band"], row["bucket"], row["i"], row["j"])
                 if key != name:
-                    out.extend(_verify(cell, threshold))
+                    if len(cell) > 1:
+                        out.extend(work(cell))
                     name, cell = key, []
                 cell.append(row)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
                 out = []
-        out.extend(_verify(cell, threshold))
+        if len(cell) > 1:
+            out.extend(work(cell))
         if out:
             yield pa.RecordBatch.from_pylist(out, schema)
     return run
@@ -216,19 +229,26 @@ def ngram_join(df: DataFrame, text: str = "text", id_column: str = "doc_id", n:
     banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(banded.join(shared, ["band", "bucket"]), "ngram-buckets")
-    wanted = members.select(F.col("node").alias("uid")).distinct()
-    grams = (source.select("uid", "text").join(wanted, "uid", "left_semi")
-             .mapInArrow(_sets("text", n), "node long, grams binary").dropDuplicates(["node"]))
-
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cells = (members.withColumn("block", F.pmod(F.xxhash64("node", "band"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select("band", "bucket", F.least("block", "other").alias("i"),
                      F.greatest("block", "other").alias("j"), "block", "node"))
-    full = cells.join(nodes.join(grams, "node"), "node")
     key = ["band", "bucket", "i", "j"]
-    links = materialize(full.repartition(*key).sortWithinPartitions(*key, "node").mapInArrow(
-        _verifier(threshold), _LINKS), "ngram-links")
+
+    def in_cells(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*key).sortWithinPartitions(*key, "node")
+
+    # Most texts of a bucket met in an earlier band; the n-gram sets travel to the first only.
+    due = materialize(in_cells(cells.join(nodes.select("node", "bands"), "node")).mapInArrow(
+        _by_cell(_meet, _MEETING), _MEETS), "ngram-meetings")
+    wanted = due.select(F.col("node").alias("uid")).distinct()
+    # The number of texts wanted grows with the data, hence no broadcast at any size.
+    grams = (source.select("uid", "text").join(wanted.hint("merge"), "uid", "left_semi")
+             .mapInArrow(_sets("text", n), "node long, grams binary").dropDuplicates(["node"]))
+    full = due.join(nodes.join(grams, "node"), "node")
+    links = materialize(in_cells(full).mapInArrow(
+        _by_cell(lambda cell: _verify(cell, threshold), _LINKED), _LINKS), "ngram-links")
 
     roots = components(links.select(F.col("node").alias("a"), F.col("least").alias("b")))
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
