@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import decontamination, language_id, ngram_join, packing, sharding, substring_dedup
+from tidegrid.llm import (
+    decontamination, language_id, ngram_join, order_minhash, packing, sharding, substring_dedup)
 from tidegrid.session import configure
 
 TOKENIZER = "word_bpe_49k.json"
@@ -63,6 +64,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce(words, F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.with_edits(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_ngram_join": op2_ngram_join,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLES: dict[str, str] = {}
