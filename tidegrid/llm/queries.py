@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegrid.llm import (
-    decontamination, language_id, ngram_join, order_minhash, packing, sharding, substring_dedup)
+    decontamination, html_text, language_id, ngram_join, order_minhash, packing, sharding,
+    substring_dedup)
 from tidegrid.session import configure
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,6 +45,11 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered(rows)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_ngram_join": op2_ngram_join,
     "op3_shard": op3_shard,
+    "op5_html_text": op5_html_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
