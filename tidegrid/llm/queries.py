@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegrid.llm import (
-    decontamination, html_text, language_id, ngram_join, order_minhash, packing, sharding,
+    decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing, sharding,
     substring_dedup)
 from tidegrid.session import configure
 
@@ -50,6 +50,11 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return kneser_ney.score(_table(spark, sf_dir, "documents"), trusted).withColumnRenamed("id", "doc_id")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op3_shard": op3_shard,
     "op5_html_text": op5_html_text,
+    "op6_kneser_ney": op6_kneser_ney,
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
