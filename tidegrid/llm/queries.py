@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegrid.llm import (
-    decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing, sharding,
+    decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing, quotation, sharding,
     substring_dedup)
 from tidegrid.session import configure
 
@@ -45,6 +45,10 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.numbered(rows)
 
 
+def op4_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.reply_ordered(_table(spark, sf_dir, "conversations"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.main_text(_table(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_ngram_join": op2_ngram_join,
     "op3_shard": op3_shard,
+    "op4_quotation": op4_quotation,
     "op5_html_text": op5_html_text,
     "op6_kneser_ney": op6_kneser_ney,
     "op7_decontaminate": op7_decontaminate,
