@@ -180,7 +180,7 @@ def own_path(found: list[Block]) -> tuple[str, float]:
 def extract(found: list[Block], paths: list[str]) -> str:
     """The text under the first path that holds enough of it, or else under the page's own."""
     weights, total = _weights(found)
-    path = next((p for p in paths if total and (not p or weights[p] >= HOLDS * total)), own_path(found)[0])
+    path = next((p for p in paths if total and weights[p] >= HOLDS * total), own_path(found)[0])
     return " ".join(b.text for b in found if not path or path in b.containers)
 
 
@@ -195,8 +195,8 @@ def _voter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes: Counter = Counter()
         for name, page in zip(batch.column("host").to_pylist(), batch.column("html")):
             found = blocks(page.as_py() or "")
-            if found:
-                path, share = own_path(found)
+            path, share = own_path(found)
+            if path:  # a page without such a container has no vote
                 votes[name, path] += share
         yield pa.RecordBatch.from_pylist(
             [{"host": h, "path": p, "votes": v} for (h, p), v in sorted(votes.items())], schema)

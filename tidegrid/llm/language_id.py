@@ -115,6 +115,8 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
+        if not languages:
+            return
         self.code = codebook(len(languages))
         share = counts.reshape(len(languages), len(ORDERS), BUCKETS) + SMOOTHING
         share = (share / share.sum(axis=2, keepdims=True)).reshape(len(languages), -1)
