@@ -99,8 +99,7 @@ def test_ingest_orders_by_time_then_place_in_the_log(spark, log, tmp_path):
     assert rows(days) == [("2015-03-04",), ("2015-03-05",), ("2015-03-06",)]
 
 
-def test_many_files_join_by_shuffle(spark, log, tmp_path, monkeypatch):
-    monkeypatch.setattr(normalized, "MAX_BROADCAST_FILES", 1)
+def test_records_of_many_files_keep_their_order(spark, log, tmp_path):
     log(line(trip="a"), line(trip="b"), name="1.csv")
     path = log(line(trip="c"), line(trip="d"), name="2.csv")
     good, _ = normalized.ingest(spark, path, str(tmp_path / "out"))
@@ -116,11 +115,34 @@ def test_one_hot_minute_spreads_over_partitions(spark):
     assert ordered.orderBy("arrival").select("event_id").first()[0] == 0
 
 
-def test_ingest_happens_once(spark, log, tmp_path):
+def test_ingest_happens_once_for_the_same_input(spark, log, tmp_path):
     out = str(tmp_path / "out")
-    normalized.ingest(spark, log(line()), out)
-    good, _ = normalized.ingest(spark, log(line(), line(trip="new")), out)
-    assert good.count() == 1
+    path = log(line())
+    for _ in range(2):
+        good, _ = normalized.ingest(spark, path, out)
+        assert good.count() == 1
+    with pytest.raises(ValueError):
+        normalized.ingest(spark, path, out, source_tz="Europe/Rome")
+    log(line(trip="new"), name="more.csv")
+    with pytest.raises(ValueError):
+        normalized.ingest(spark, path, out)
+
+
+def test_rejects_keep_their_text_and_may_be_all_there_is(spark, log, tmp_path):
+    good, bad = normalized.ingest(spark, log(line(shiptype="x", ts="soon")), str(tmp_path / "out"))
+    assert good.count() == 0 and good.schema["event_date"].dataType.simpleString() == "date"
+    r = bad.first()
+    assert r.reject_reason == "shiptype,ts" and r.raw_record == line(shiptype="x", ts="soon")
+
+
+def test_text_log_rejects_and_patterns(spark, log, tmp_path):
+    good, _ = normalized.ingest(spark, log(line(port=""), line(trip="t2")), str(tmp_path / "o"))
+    text = [r.value for r in normalized.to_text_log(good).collect()]
+    (tmp_path / "1.txt").write_text("\n".join([*text, "s,x,1.5", text[0].replace("2015", "never")]) + "\n")
+    found = normalized.import_text_log(spark, str(tmp_path / "*.txt"), str(tmp_path / "p"))
+    assert rows(found.select(*normalized.TEXT_FIELDS)) == rows(good.select(*normalized.TEXT_FIELDS))
+    bad = normalized.text_log_rejects(spark, str(tmp_path / "*.txt"))
+    assert len(rows(bad)) == 2 and "ts" in {r.reject_reason for r in bad.collect()}
 
 
 def test_text_log(spark, log, tmp_path):

@@ -154,3 +154,38 @@ def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
         cumulative.record_windows(closed, batch_id, WEEK_DAYS, out)
     assert (rows(cumulative.read_report(spark, out, "changelog"))
             == rows(q2.q2_changelog(totals, WEEK_DAYS)))
+
+
+def test_half_a_day_in_the_feed_is_completed(spark, positions, tmp_path):
+    days = normalized.write_positions(normalized.in_event_time_order(positions(
+        *[(f"2015-03-{d:02d} {h:02d}:00", 40.0, 5.0) for d in (5, 6, 7) for h in range(20)]),
+        "event_id"), str(tmp_path / "days"))
+    feed = str(tmp_path / "feed")
+    replay.append_days(days.where("event_date = '2015-03-05'"), feed)
+    half = days.where("event_date = '2015-03-06'").orderBy("arrival").limit(7)
+    replay.append(half.select(*replay.FEED_COLUMNS), feed)
+    (tmp_path / "feed" / "_SUCCESS").unlink()  # as after a crash before the first commit
+    replay.publish(days, feed)
+    replay.publish(days, feed)
+    written = spark.read.parquet(feed)
+    assert rows(written.where("arrival >= 0"), "arrival") == rows(days, "arrival")
+    assert written.count() == days.count() + 1
+
+
+def test_filters_stay_above_the_watermark(spark, positions, tmp_path):
+    positions(("2015-03-05 10:00", 40.0, 5.0)).withColumn("arrival", F.col("event_id")).select(
+        *replay.FEED_COLUMNS).write.parquet(str(tmp_path / "feed"))
+    feed = replay.read_feed(spark, str(tmp_path / "feed"))
+    plan = plan_of(reports.stream_q1(feed, 7))
+    assert plan.index("Filter") < plan.index("EventTimeWatermark") and "PushedFilters: [Is" not in plan
+
+
+def test_a_foreign_session_zone_changes_nothing(spark, positions):
+    table = positions(("2015-03-05 14:00", 40.0, 5.0), ("2015-03-05 02:00", 40.0, 5.0))
+    expected = rows(q2.q2_rendered(q2.q2_top3(table, 7)))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows(q2.q2_rendered(q2.q2_top3(table, 7))) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tidegrid import metrics, sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
 from tidegrid.functions import (
-    cell_name, day_slot, event_window, sea_label, sea_name, ship_class, window_label)
+    cell_name, day_slot, event_window, in_area, sea_label, sea_name, ship_class, window_label)
 from tidegrid.operators import aggregates, filters
 from tidegrid.operators.grid import with_sector
 from tidegrid.plans import q1, q2
@@ -25,7 +25,7 @@ from tidegrid.streaming import cumulative, job as stream_job, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FIRST_ARRIVALS = 100
+FIRST_ARRIVALS = 100  # the depth of the top-n report
 FILES_PER_TRIGGER = 16
 
 _written: dict[tuple[str, str, str], object] = {}
@@ -213,8 +213,7 @@ def q1_rendered(days: int) -> Query:
 
 
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "daily-rollup", lambda _: materialize(
-        aggregates.daily_rollup(positions(spark, sf_dir)), "daily-rollup"))
+    return materialize(aggregates.daily_rollup(positions(spark, sf_dir)), "daily-rollup")
 
 
 def q1_by_rollup(days: int) -> Query:
@@ -323,6 +322,44 @@ def sink_csv_roundtrip_q2(spark, sf_dir):
     return _roundtrip(spark, q2_rendered(WEEK_DAYS)(spark, sf_dir), Q2_RENDERED_SCHEMA)
 
 
+def out_of_area(rows: DataFrame) -> DataFrame:
+    return rows.where(~in_area(F.col("lat"), F.col("lon")))
+
+
+def _counts_over(spark, name: str, *appends: Callable[[str], None]) -> DataFrame:
+    """Weekly counts of a feed that grows between the runs of one stream."""
+    out = new_workspace(spark, name)
+    session = runner.streaming_session(spark)
+    for append in appends:
+        append(f"{out}/feed")
+        rows = replay.read_feed(session, f"{out}/feed", FILES_PER_TRIGGER)
+        stream = reports.stream_window_counts(rows, WEEK_DAYS)
+        runner.start_file_sink(stream, f"{out}/counts").awaitTermination()
+    counts = spark.read.schema("window_start timestamp, sector string, n bigint").parquet(
+        f"{out}/counts")
+    return _naive(counts, "window_start")
+
+
+def stream_watermark_all_rows(spark, sf_dir):
+    """Rows of the area first, then those outside it, which close the windows alone."""
+    days = position_days(spark, sf_dir)
+    return _counts_over(
+        spark, "watermark-all",
+        lambda feed: replay.append_days(days.transform(filters.within_area), feed),
+        lambda feed: replay.append_days(out_of_area(days), feed))
+
+
+def stream_late_drop_mixed(spark, sf_dir):
+    """Rows outside the area first, which make all rows of the area late but the last weeks'."""
+    days = position_days(spark, sf_dir)
+
+    def rest(feed: str) -> None:
+        replay.append_days(days.transform(filters.within_area), feed)
+        replay.append_sentinel(spark, feed)
+    return _counts_over(
+        spark, "late-mixed", lambda feed: replay.append_days(out_of_area(days), feed), rest)
+
+
 def stream_csv_sink(spark, sf_dir):
     """The streamed weekly report as appended part files, read back."""
     rows = q1.rendered(reports.stream_q1(feed(spark, sf_dir), WEEK_DAYS))
@@ -378,6 +415,8 @@ QUERIES: dict[str, Query] = {
     "q2_month_rendered": q2_rendered(MONTH_DAYS),
     "q2_cumulative_week": over_stored_totals(q2.q2_cumulative, WEEK_DAYS),
     "q2_cumulative_month": over_stored_totals(q2.q2_cumulative, MONTH_DAYS),
+    "q2_cumulative_week_rendered": over_stored_totals(q2.q2_cumulative_rendered, WEEK_DAYS),
+    "q2_cumulative_month_rendered": over_stored_totals(q2.q2_cumulative_rendered, MONTH_DAYS),
     "q2_changelog_week": over_stored_totals(q2.q2_changelog, WEEK_DAYS),
     "q2_changelog_month": over_stored_totals(q2.q2_changelog, MONTH_DAYS),
     "q2_emissions_week": over_stored_totals(q2.q2_emissions, WEEK_DAYS),
@@ -395,6 +434,8 @@ QUERIES: dict[str, Query] = {
     "stream_fanout_q2_week": stream_fanout("week", "q2", Q2_RENDERED_SCHEMA),
     "stream_fanout_q2_month": stream_fanout("month", "q2", Q2_RENDERED_SCHEMA),
     "stream_late_drop": stream_late_drop,
+    "stream_watermark_all_rows": stream_watermark_all_rows,
+    "stream_late_drop_mixed": stream_late_drop_mixed,
     "stream_csv_sink": stream_csv_sink,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_csv_roundtrip_q2": sink_csv_roundtrip_q2,

@@ -20,7 +20,7 @@ from tidegrid.constants import CLASS_35, CLASS_60_69, CLASS_70_79
 from tidegrid.functions import (
     arrival_key, cell_code, event_window, is_class, is_morning, is_west)
 from tidegrid.operators.filters import western, within_area
-from tidegrid.session import materialize
+from tidegrid.session import configure, materialize
 
 CLASS_COLUMNS = ("n_35", "n_60_69", "n_70_79", "n_others")
 
@@ -59,6 +59,7 @@ def _arrival(positions: DataFrame) -> Column:
 
 def _per_window(df: DataFrame, ts: str, days: int, keys: list[Column],
                 measures: list[Column]) -> DataFrame:
+    configure(df.sparkSession)  # day slots and labels follow the session's zone
     window = event_window(F.col(ts), days)
     if df.isStreaming:
         return (df.groupBy(window.alias("window"), *keys).agg(*measures)
@@ -88,26 +89,31 @@ def slot_totals_with_sea(positions: DataFrame, days: int, slot_tz: str = "UTC")
     rows = positions.transform(within_area)
     last = F.max_by(is_west(F.col("lat"), F.col("lon")), _arrival(positions))
     return _per_window(rows, "ts", days, [_cell()],
-                       [*_slot_counts(slot_tz), last.alias("last_west")])
+                       [*_slot_counts(slot_tz), last.alias("last_west"),
+                        F.max(_arrival(positions)).alias("last_arrival")])
 
 
 def slot_totals_with_last(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
     """As ``slot_totals`` per sector, with ship, place and time of the last record.
 
     The ship id is a string, which no hash aggregation can carry, so the first scan finds
-    only which record is last and a second one fetches it. The join is a broadcast as long
-    as the stored winners, one per (window, cell), are small enough for Spark's threshold.
+    only which record is last and a second one fetches it: from the area only, and, in a
+    table that is partitioned by day, from the winners' days only. The join is a broadcast as
+    long as the stored winners, one per (window, cell), are small enough for Spark's threshold.
     """
+    configure(positions.sparkSession)
     rows = positions.transform(within_area)
     record = "arrival" if "arrival" in positions.columns else "event_id"
+    day = ["event_date"] if "event_date" in positions.columns else []
     winners = _per_window(rows, "ts", days, [_cell()], [
         *_slot_counts(slot_tz),
-        F.max_by(record, _arrival(positions)).alias(record)])
+        F.max_by(record, _arrival(positions)).alias(record),
+        *[F.max_by(c, _arrival(positions)).alias(c) for c in day]])
     winners = materialize(winners, f"slot-winners-{days}")
-    records = positions.select(
-        record, F.col("ship_id").alias("last_ship_id"), F.col("lat").alias("last_lat"),
+    records = rows.select(
+        record, *day, F.col("ship_id").alias("last_ship_id"), F.col("lat").alias("last_lat"),
         F.col("lon").alias("last_lon"), F.col("ts").alias("last_ts"))
-    return records.join(winners, record).drop(record)
+    return records.join(winners, [*day, record]).drop(*day, record)
 
 
 def window_counts(positions: DataFrame, days: int) -> DataFrame:
@@ -145,4 +151,5 @@ def slot_totals_from_rollup(rollup: DataFrame, days: int, by_sea: bool) -> DataF
     if by_sea:
         return _per_window(rollup, "day", days, [F.col("cell"), F.col("west")], sums)
     last = F.max_by("west", "last_arrival").alias("last_west")
-    return _per_window(rollup, "day", days, [F.col("cell")], [*sums, last])
+    latest = F.max("last_arrival").alias("last_arrival")
+    return _per_window(rollup, "day", days, [F.col("cell")], [*sums, last, latest])

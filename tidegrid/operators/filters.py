@@ -1,19 +1,29 @@
-"""Row filters. All are plain comparisons, so they reach the Parquet scan."""
+"""Row filters. All are plain comparisons, so they reach the Parquet scan.
+
+In a stream they refer to the event time as well: Spark would otherwise apply them before the
+watermark, which then would not see the records that they leave out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegrid.functions import in_area, is_east, is_west
 
 
+def _kept(positions: DataFrame, condition: Column) -> DataFrame:
+    if positions.isStreaming:
+        condition = F.when(F.col("ts").isNotNull(), condition)
+    return positions.where(condition)
+
+
 def within_area(positions: DataFrame) -> DataFrame:
-    return positions.where(in_area(F.col("lat"), F.col("lon")))
+    return _kept(positions, in_area(F.col("lat"), F.col("lon")))
 
 
 def western(positions: DataFrame) -> DataFrame:
-    return positions.where(is_west(F.col("lat"), F.col("lon")))
+    return _kept(positions, is_west(F.col("lat"), F.col("lon")))
 
 
 def eastern(positions: DataFrame) -> DataFrame:
-    return positions.where(is_east(F.col("lat"), F.col("lon")))
+    return _kept(positions, is_east(F.col("lat"), F.col("lon")))

@@ -141,6 +141,27 @@ d AS (SELECT *, lag((rank_a, rank_p)) OVER (ORDER BY window_start) AS before FRO
 SELECT window_start, rank_a, rank_p FROM d WHERE (rank_a, rank_p) IS DISTINCT FROM before"""
 
 
+def cumulative_rendered(days: int) -> str:
+    return f"""{cumulative_with(days)},
+r AS (SELECT window_start, {lists('slot')} FROM t GROUP BY window_start),
+e AS (SELECT {bucket(days)} AS window_start, arg_max(sea, (ts, event_id)) AS sea FROM b GROUP BY ALL)
+SELECT {label('window_start')} AS ts, sea, '00:00-11:59' AS slot_a, rank_a,
+  '12:00-23:59' AS slot_p, rank_p FROM r JOIN e USING (window_start)"""
+
+
+# A window closes when the watermark, 60 s behind the latest record of any place, reaches its end.
+WATERMARK_ALL = f"""{BASE}
+SELECT {bucket(WEEK_DAYS)} AS window_start, sector, count(*) AS n FROM b
+WHERE {bucket(WEEK_DAYS)} + INTERVAL {WEEK_DAYS} DAY <= (SELECT max(ts) - INTERVAL 60 SECOND FROM p)
+GROUP BY ALL"""
+
+LATE_MIXED = f"""{BASE}
+SELECT {bucket(WEEK_DAYS)} AS window_start, sector, count(*) AS n FROM b
+WHERE {bucket(WEEK_DAYS)} + INTERVAL {WEEK_DAYS} DAY
+  > (SELECT max(ts) - INTERVAL 60 SECOND FROM p WHERE NOT ({AREA}))
+GROUP BY ALL"""
+
+
 def emissions(days: int) -> str:
     return f"""{BASE}, c AS (
   SELECT {bucket(days)} AS w, sector, {SLOT_COUNTS}, arg_max(sea, (ts, event_id)) AS sea
@@ -218,6 +239,10 @@ SELECT window_start, sector, last_shiptype FROM q""",
     "q2_month_rendered": q2_rendered(MONTH_DAYS),
     "q2_cumulative_week": cumulative(WEEK_DAYS),
     "q2_cumulative_month": cumulative(MONTH_DAYS),
+    "q2_cumulative_week_rendered": cumulative_rendered(WEEK_DAYS),
+    "q2_cumulative_month_rendered": cumulative_rendered(MONTH_DAYS),
+    "stream_watermark_all_rows": WATERMARK_ALL,
+    "stream_late_drop_mixed": LATE_MIXED,
     "q2_changelog_week": changelog(WEEK_DAYS),
     "q2_changelog_month": changelog(MONTH_DAYS),
     "q2_emissions_week": emissions(WEEK_DAYS),

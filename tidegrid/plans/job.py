@@ -9,7 +9,7 @@ from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
 from tidegrid.operators.aggregates import daily_rollup, slot_totals_from_rollup
 from tidegrid.operators.ranking import top_sectors
 from tidegrid.plans import q1, q2
-from tidegrid.session import materialize
+from tidegrid.session import configure, materialize
 from tidegrid.sources import normalized
 
 PERIODS = {"week": WEEK_DAYS, "month": MONTH_DAYS}
@@ -26,6 +26,7 @@ def reports(positions: DataFrame, slot_tz: str = "UTC") -> dict[str, DataFrame]:
         out[f"q2_{name}"] = q2.q2_rendered(top_sectors(by_sea))
         per_sector = materialize(slot_totals_from_rollup(rollup, days, by_sea=False),
                                  f"slot-totals-{name}")
+        out[f"q2_{name}_cumulative"] = q2.q2_cumulative_rendered(per_sector, days)
         out[f"q2_{name}_emissions"] = q2.render(q2.q2_emissions(per_sector, days))
     return out
 
@@ -35,6 +36,7 @@ def run_batch(spark: SparkSession, log: str, out_dir: str, source_tz: str = "UTC
               text_log: bool = False) -> list[str]:
     """Ingest a raw or an already normalised log and write every report; returns the report
     names."""
+    configure(spark)
     if text_log:
         positions = normalized.import_text_log(spark, log, f"{out_dir}/ingest")
     else:

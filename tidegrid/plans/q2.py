@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.constants import SLOT_AM, SLOT_PM
-from tidegrid.functions import window_label
+from tidegrid.functions import sea_name, window_label
 from tidegrid.operators.aggregates import slot_totals, slot_totals_with_sea
 from tidegrid.operators.ranking import (
     changed_lists, cumulative_top, emissions, rank_lists, top_sectors)
@@ -52,5 +52,15 @@ def q2_changelog(stored: DataFrame, days: int, suppress_first: bool = True) -> D
     return changed_lists(q2_cumulative(stored, days, suppress_first))
 
 
+def q2_cumulative_rendered(stored: DataFrame, days: int, suppress_first: bool = True) -> DataFrame:
+    """One six-column row per window. A row counts as new if anything in it, its label
+    included, differs from the row before, so every window has one; its sea is that of the
+    window's last record."""
+    seas = stored.groupBy("window_start").agg(
+        sea_name(F.max_by("last_west", "last_arrival")).alias("sea"))
+    lists = rank_lists(q2_cumulative(stored, days, suppress_first), ["window_start"])
+    return render(lists.join(seas, "window_start"))
+
+
 def q2_emissions(stored: DataFrame, days: int, suppress_first: bool = True) -> DataFrame:
     return emissions(stored, days, suppress_first)

@@ -69,6 +69,13 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
+def exists(spark: SparkSession, path: str) -> bool:
     fs, folder = _file_system(spark, path)
-    return fs.getContentSummary(folder).getLength()
+    return fs.exists(folder)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files that a path, or a pattern, stands for."""
+    fs, pattern = _file_system(spark, path)
+    return sum(fs.getContentSummary(found.getPath()).getLength()
+               for found in fs.globStatus(pattern) or ())

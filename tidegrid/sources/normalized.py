@@ -2,37 +2,37 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidegrid.constants import TEXT_LOG_PATTERN
-from tidegrid.session import is_complete, materialize, stored_bytes
+from tidegrid.session import configure, is_complete, materialize, stored_bytes
 from tidegrid.sources import raw_csv
 
 # Documented layout of monotonically_increasing_id: partition number above 33 bits.
 PARTITION_BITS = 33
 
 # Compressed columns per sort task. The number of tasks follows the data, where the session
-# default would stay at 200 for a log of any size. Beyond the limit tasks grow and spill,
-# because the number of shuffle blocks grows with the square of the number of tasks.
+# default would stay at 200 for a log of any size.
 SORT_PARTITION_BYTES = 64 << 20
-MAX_SORT_PARTITIONS = 20_000
-
-# About 100 MB of names and numbers on each executor.
-MAX_BROADCAST_FILES = 500_000
 
 CODEC = "zstd"
 STAGED_SCHEMA = (
     "ship_id string, shiptype int, speed double, lon double, lat double, course int, "
     "heading int, ts timestamp, departure_port_name string, reported_draught int, "
     "trip_id string, log_file string, log_block bigint, log_line bigint, "
-    "reject_reason string")
+    "reject_reason string, raw_record string")
+POSITIONS_SCHEMA = (
+    "ship_id string, shiptype int, speed double, lon double, lat double, course int, "
+    "heading int, ts timestamp, departure_port_name string, reported_draught int, "
+    "trip_id string, arrival bigint, event_date date")
 
 
 def sort_partitions(spark: SparkSession, size: int) -> int:
-    by_size = min(ceil(size / SORT_PARTITION_BYTES), MAX_SORT_PARTITIONS)
-    return max(by_size, spark.sparkContext.defaultParallelism)
+    return max(ceil(size / SORT_PARTITION_BYTES), spark.sparkContext.defaultParallelism)
 
 
 def in_event_time_order(df: DataFrame, *tie_break: str, partitions: int | None = None
@@ -56,51 +56,51 @@ def write_positions(ordered: DataFrame, path: str) -> DataFrame:
     if not is_complete(spark, path):
         (ordered.write.mode("overwrite").option("compression", CODEC)
          .partitionBy("event_date").parquet(path))
-    return spark.read.parquet(path)
-
-
-def with_log_number(records: DataFrame) -> DataFrame:
-    """Replace the path of the log file by a short number in the order of the names: a path
-    in every row would be the larger part of what the sort shuffles.
-
-    The list of files, one row each, is counted before it is broadcast. A longer one joins
-    by shuffle, where adaptive execution splits a file that holds very many rows.
-    """
-    files = (records.select("log_file").distinct()
-             .repartitionByRange("log_file").sortWithinPartitions("log_file"))
-    numbers = materialize(files.withColumn("log_number", F.monotonically_increasing_id()),
-                          "log-files")
-    if numbers.count() <= MAX_BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
-    return records.join(numbers, "log_file").drop("log_file")
+    return spark.read.schema(ordered.schema).parquet(path)
 
 
 def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "UTC",
            draught_compat: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Raw log to (positions, rejects), both stored under ``out_dir``.
+    """Raw log to (positions, rejects), both stored under ``out_dir``. Rejects keep the text
+    of their record. What is stored is used again, but only for the same files and options.
 
     The text is parsed once, into a staged table: range partitioning samples its input, and
     rejects need it too, so both read the staged columns instead of the text. Row groups
     without rejects are skipped when reading those.
     """
     staged, positions = f"{out_dir}/staged", f"{out_dir}/positions"
+    configure(spark)
+    _same_input(spark, csv_path, out_dir, source_tz=source_tz, draught_compat=draught_compat)
     if not is_complete(spark, staged):
         parsed = raw_csv.parse(raw_csv.scan(spark, csv_path), source_tz, draught_compat)
         parsed.write.mode("overwrite").option("compression", CODEC).parquet(staged)
     stored = spark.read.schema(STAGED_SCHEMA).parquet(staged)
     rejects = raw_csv.rejected(stored)
     if is_complete(spark, positions):
-        return spark.read.parquet(positions), rejects
+        return spark.read.schema(POSITIONS_SCHEMA).parquet(positions), rejects
     good = raw_csv.accepted(stored)
     return _store_in_order(good, stored_bytes(spark, staged), positions), rejects
 
 
 def _store_in_order(records: DataFrame, size: int, path: str) -> DataFrame:
     """Number records by time and place in the log, and store them by day."""
-    place = ("log_number", "log_block", "log_line")
     partitions = sort_partitions(records.sparkSession, size)
-    ordered = in_event_time_order(with_log_number(records), *place, partitions=partitions)
-    return write_positions(ordered.drop(*place), path)
+    ordered = in_event_time_order(records, *raw_csv.LOG_ORDER, partitions=partitions)
+    return write_positions(ordered.drop(*raw_csv.LOG_ORDER), path)
+
+
+def _same_input(spark: SparkSession, path: str, out_dir: str, **options) -> None:
+    """Note the files and options that ``out_dir`` is made from; raise if they have changed."""
+    files = sorted(spark.read.text(path).inputFiles())
+    digest = hashlib.sha256("\n".join(files).encode()).hexdigest()
+    now = json.dumps({"files": len(files), "digest": digest, **options}, sort_keys=True)
+    noted = f"{out_dir}/input"
+    if not is_complete(spark, noted):
+        spark.createDataFrame([(now,)], "value string").write.mode("overwrite").text(noted)
+        return
+    before = spark.read.text(noted).first()["value"]
+    if before != now:
+        raise ValueError(f"{out_dir} was made from other files or options: {before}, now {now}")
 
 
 def replay_numbers(positions: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def replay_numbers(positions: DataFrame) -> DataFrame:
 
     ``arrival`` holds the range partition and the place within it; only the sizes of the
     partitions before are missing. They come from a count per partition: one row for each
-    partition the table was written from, so ``MAX_SORT_PARTITIONS`` rows at most.
+    partition the table was written from.
     """
     partition = F.shiftright("arrival", PARTITION_BITS)
     sizes = positions.groupBy(partition.alias("part")).agg(F.count(F.lit(1)).alias("size"))
@@ -132,6 +132,7 @@ def to_text_log(positions: DataFrame) -> DataFrame:
     """One text line per record, with the time as ``Thu Mar 05 10:15:00 UTC 2015``."""
     fields = [F.date_format("ts", TEXT_LOG_PATTERN) if c == "ts" else F.col(c).cast("string")
               for c in TEXT_FIELDS]
+    fields = [F.coalesce(field, F.lit("")) for field in fields]
     return positions.select(F.concat_ws(",", *fields).alias("value"))
 
 
@@ -143,16 +144,29 @@ def from_text_log(lines: DataFrame, *extra: str) -> DataFrame:
         "string", "int", "double", "double", "double", "int", "int", None,
         "string", "int", "string")))
     return lines.select(*[
-        (F.to_timestamp(F.substring(f[i], 5, 64), TEXT_LOG_PATTERN[4:]) if kind is None
-         else f[i].cast(kind)).alias(name)
+        (F.try_to_timestamp(F.substring(F.get(f, F.lit(i)), 5, 64), F.lit(TEXT_LOG_PATTERN[4:])) if kind is None
+         else F.get(f, F.lit(i)).try_cast(kind)).alias(name)
         for i, (name, kind) in enumerate(casts.items())], *extra)
 
 
+def _parsed_text_log(spark: SparkSession, path: str) -> DataFrame:
+    lines = raw_csv.with_place(spark.read.text(path))
+    records = from_text_log(lines, "value", *raw_csv.LOG_ORDER)
+    return raw_csv.with_reject_reason(records).withColumnRenamed("value", "raw_record")
+
+
 def import_text_log(spark: SparkSession, path: str, out_dir: str) -> DataFrame:
-    """An already normalised text log to stored positions."""
+    """An already normalised text log to stored positions; see ``text_log_rejects``."""
     positions = f"{out_dir}/positions"
+    configure(spark)
+    _same_input(spark, path, out_dir)
     if is_complete(spark, positions):
-        return spark.read.parquet(positions)
-    lines = raw_csv.with_place(spark.read.text(path))
-    records = from_text_log(lines, *raw_csv.LOG_ORDER)
-    return _store_in_order(records, stored_bytes(spark, path), positions)
+        return spark.read.schema(POSITIONS_SCHEMA).parquet(positions)
+    good = raw_csv.accepted(_parsed_text_log(spark, path))
+    return _store_in_order(good, stored_bytes(spark, path), positions)
+
+
+def text_log_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(raw_record, reject_reason) of the lines that ``import_text_log`` leaves out."""
+    configure(spark)
+    return raw_csv.rejected(_parsed_text_log(spark, path)).select("raw_record", "reject_reason")

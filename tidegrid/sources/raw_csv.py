@@ -71,7 +71,7 @@ def without_parentheses(text: Column) -> Column:
 
 def parse(raw: DataFrame, source_tz: str = "UTC", draught_compat: bool = False) -> DataFrame:
     """Typed fields, plus ``reject_reason``: the names of the fields that could not be read,
-    null for a good record."""
+    null for a good record, and ``raw_record``: the fields of a bad one as they were."""
     typed = raw.select(
         without_parentheses(F.col("ship_id")).alias("ship_id"),
         F.col("shiptype").try_cast("int").alias("shiptype"),
@@ -84,14 +84,20 @@ def parse(raw: DataFrame, source_tz: str = "UTC", draught_compat: bool = False)
         without_parentheses(F.col("departure_port_name")).alias("departure_port_name"),
         draught_or_zero(F.col("reported_draught"), draught_compat).alias("reported_draught"),
         F.nullif(without_parentheses(F.col("trip_id")), F.lit("")).alias("trip_id"),
-        *LOG_ORDER)
+        *LOG_ORDER,
+        F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_SCHEMA.fieldNames()]).alias("raw_record"))
+    found = with_reject_reason(typed)
+    return found.withColumn("raw_record", F.when(F.col("reject_reason").isNotNull(), F.col("raw_record")))
+
+
+def with_reject_reason(typed: DataFrame) -> DataFrame:
     required = ("shiptype", "speed", "lon", "lat", "course", "heading", "ts", "trip_id")
     bad = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
     return typed.withColumn("reject_reason", F.nullif(bad, F.lit("")))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return parsed.where(F.col("reject_reason").isNull()).drop("reject_reason", "raw_record")
 
 
 def rejected(parsed: DataFrame) -> DataFrame:

@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.session import is_complete
+from tidegrid.session import configure, exists
 
-# Closes all windows of a finite replay. It lies in the western area, because Spark applies
-# the area filters before the watermark; its own window stays open and is never reported.
+# Closes all windows of a finite replay; its own window stays open and is never reported.
 SENTINEL_YEAR = 9999
 SENTINEL = (f"'' ship_id, TIMESTAMP '{SENTINEL_YEAR}-01-01' ts, CAST(0 AS INT) shiptype, "
             "CAST(40.0 AS DOUBLE) lat, CAST(5.0 AS DOUBLE) lon, CAST(-1 AS BIGINT) arrival")
@@ -43,20 +42,32 @@ def append_sentinel(spark: SparkSession, feed: str) -> None:
 
 def published_until(spark: SparkSession, feed: str):
     """The last day in the feed, if any; a finished feed ends with the sentinel's."""
-    if not is_complete(spark, feed):
+    if not exists(spark, feed):
         return None
-    return spark.read.parquet(feed).agg(F.max(F.to_date("ts"))).first()[0]
+    return _published(spark, feed).agg(F.max(F.to_date("ts"))).first()[0]
+
+
+def _published(spark: SparkSession, feed: str) -> DataFrame:
+    """What is in the feed, also after a write that broke off."""
+    return spark.read.schema(FEED_SCHEMA).parquet(feed)
 
 
 def publish(positions: DataFrame, feed: str) -> str:
     """Write a whole table as a finished feed. Run again after a failure, it goes on with
-    the day after the last one written; on a finished feed it does nothing."""
-    spark = positions.sparkSession
+    those rows of the last day written that are missing, then with the days after it; on a
+    finished feed it does nothing."""
+    spark = configure(positions.sparkSession)
     last = published_until(spark, feed)
-    rest = positions if last is None else positions.where(F.col("event_date") > F.lit(last))
+    if last is not None and last.year >= SENTINEL_YEAR:
+        return feed
+    rest = positions
+    if last is not None:
+        day = F.col("event_date") == F.lit(last)
+        written = _published(spark, feed).where(F.to_date("ts") == F.lit(last)).select("arrival")
+        append(positions.where(day).join(written, "arrival", "left_anti").select(*FEED_COLUMNS), feed)
+        rest = positions.where(F.col("event_date") > F.lit(last))
     append_days(rest, feed)
-    if last is None or last.year < SENTINEL_YEAR:
-        append_sentinel(spark, feed)
+    append_sentinel(spark, feed)
     return feed
 
 

@@ -10,15 +10,15 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegrid.session import configure, new_workspace
 
 # Rows reach the shuffle already aggregated, at most a few hundred sectors per open window,
-# so the number of state stores follows the grid and not the volume of the stream.
+# so the number of state stores follows the grid and not the volume of the stream, nor the
+# machine: a stream's first run fixes it for good.
 STATE_PARTITIONS = 16
 
 
-def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def streaming_session(spark: SparkSession, state_partitions: int = STATE_PARTITIONS) -> SparkSession:
     """A session of its own, for the partition count of a stream is fixed by its first run."""
-    n = state_partitions or min(STATE_PARTITIONS, spark.sparkContext.defaultParallelism)
     session = configure(spark.newSession())
-    session.conf.set("spark.sql.shuffle.partitions", str(n))
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
 
 
