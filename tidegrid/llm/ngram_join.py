@@ -280,6 +280,6 @@ def distinct_documents(df: DataFrame, text: str = "text", id_column: str = "doc_
     kept = joined.where("n_links = 0").select("uid", F.lit(1).alias("n")).distinct().unionByName(best)
     kept = materialize(kept.select(F.col("uid").alias("_kept_uid"), F.col("n").alias("_kept_n")), "ngram-kept")
     rows = (df.withColumn("_row_uid", F.xxhash64(F.col(id_column), F.col(text)))
-            .join(kept, F.col("_row_uid") == F.col("_kept_uid")))
+            .join(kept.hint("merge"), F.col("_row_uid") == F.col("_kept_uid")))  # grows with the rows
     rows = rows.where("_kept_n = 1").unionByName(rows.where("_kept_n > 1").dropDuplicates(["_row_uid"]))
     return rows.select(*[rows[f"`{c}`"] for c in df.columns])
