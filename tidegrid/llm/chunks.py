@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = CHUNK_BYTES) -> Iterator[pa.Table]:
