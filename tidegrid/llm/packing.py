@@ -41,8 +41,8 @@ LOCAL_ITEMS = 200_000
 MERGE_ITEMS = 100_000
 LEAST_GAIN = 0.002
 TEXT_BYTES = 8 << 20
-CACHED_PARTS = 900_000
-CACHED_WORDS = 300_000
+CACHED_PARTS = 400_000
+CACHED_WORDS = 200_000
 
 _PIECE = "piece int, start long, length long, ids_crc32 long, bin long, bin_offset long, bin_load long"
 _MOVE = "bin long, into long, at long, load long"
