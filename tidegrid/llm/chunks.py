@@ -8,6 +8,8 @@ once for each chunk, however often it occurs there.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -19,8 +21,23 @@ import zstandard
 CHUNK_BYTES = 6 << 20
 
 
+@functools.cache
+def _trim():
+    """The C library's function that returns freed memory, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def give_back() -> None:
+    """Return the memory freed so far to the system; workers live on after their tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = CHUNK_BYTES) -> Iterator[pa.Table]:
-    """The batches dealt anew into tables of at most ``most`` bytes of text, or one row."""
+    """The batches dealt anew into tables of at most ``most`` bytes of text, or one row.
+
+    What the work on a table has freed goes back to the system before the next one.
+    """
     held, size = [], 0
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
@@ -31,6 +48,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
             if end <= at and held:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
+                give_back()
                 continue
             end = max(at + 1, end)
             held.append(batch.slice(at, end - at))
@@ -38,6 +56,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
             at = end
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def digest(table: pa.Table) -> tuple[int, bytes]:

@@ -156,6 +156,7 @@ def _candidates(hashes, first, replies, window, block, digits):
 
 def _extend(text: str, window: int, block: int, digits: int):
     def run(own: pa.Table, replies: pa.Table) -> pa.Table:
+        chunks.give_back()
         rows = []
         if replies.num_rows and own.num_rows:
             name = own.column("chunk")[0].as_py()
@@ -172,6 +173,7 @@ def _extend(text: str, window: int, block: int, digits: int):
 
 def _cut(text: str, window: int, block: int, digits: int, schema: pa.Schema):
     def run(own: pa.Table, replies: pa.Table) -> pa.Table:
+        chunks.give_back()
         first_round = replies.filter(pc.equal(replies.column("round"), 1))
         second_round = replies.filter(pc.equal(replies.column("round"), 2))
         done = []
