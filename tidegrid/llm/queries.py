@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidegrid.llm import (
     decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing, quotation, sharding,
     substring_dedup)
+from tidegrid.llm.oracles import ORACLES  # noqa: F401
 from tidegrid.session import configure
 
 TOKENIZER = "word_bpe_49k.json"
@@ -95,5 +96,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_order_minhash": op10_order_minhash,
 }
-
-ORACLES: dict[str, str] = {}
