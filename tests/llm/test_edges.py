@@ -1,5 +1,7 @@
 """Defined results of the operators: nulls, empty and long texts, ties, repeats, odd columns."""
 
+import re
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -170,6 +172,30 @@ def test_main_text(spark):
     assert {r["host"]: r["paths"][0] for r in paths}["h.example"] == "/body/div.c.content"
 
 
+@pytest.mark.parametrize("wrap", [
+    "<body><div>Links <a>one</a> <a>two</a></div><article>%s</article></body>", "<main><div class=a>%s</div></main>",
+    "<body><ul class=x><li><a>some other page</a></li></ul><div class=post>%s</div></body>", "<body>%s</body>", "%s"])
+@pytest.mark.parametrize("inner", [
+    "<h1>Title</h1><p>lead words</p><div class=body>{long}</div><p>end words</p>",
+    "<h1>Title</h1><p>lead words</p><section>{long}</section><section>{long}</section>",
+    "<h1>Title</h1><div class=intro>lead words</div><div class=body><div>{long}</div>after</div><div class=o>end</div>",
+    "<h1>Title</h1><table><tr><td>{long}</td><td>cell</td></tr></table>end words",
+    "<div class=one>{long} lead</div><div class=two>{long}</div>"])
+def test_nothing_of_an_article_is_lost(wrap, inner):
+    inner = inner.format(long="many words of text " * 9)
+    found = html_text.blocks(wrap % inner)
+    whole = " ".join(re.sub("<[^>]*>", " ", inner).split())
+    assert html_text.extract(found, []) == whole
+    assert html_text.extract(found, [html_text.own_path(found)[0]]) == whole
+    for path in {c for b in found for c in b.containers}:
+        assert html_text.extract(found, [path]) == whole
+
+
+def test_articles_of_two_kinds_are_both_kept():
+    page = f"<body><article class=a>{'one ' * 60}</article><article class=b>{'two ' * 40}</article><div>aside text</div>"
+    assert html_text.extract(html_text.blocks(page), []).split() == ["one"] * 60 + ["two"] * 40
+
+
 def test_perplexity_is_a_distribution_and_follows_the_formula(spark, documents, prose):  # noqa: F811
     rows = documents((1, "abab"), (2, "abac"), (3, None), (4, ""), (None, "zz"), (2, "abac"))
     trusted = spark.createDataFrame([(1,), (2,), (None,)], "doc_id long")

@@ -1,12 +1,14 @@
 """Main text of web pages by consensus of each host on where it stands.
 
 1. Every page scores its containers (body, main, article, section, div and table cells): the text
-   in them, less three times its links, without boilerplate. It votes for its deepest container
-   with SHARE of its text, named by the path of tags and classes, digits taken out.
+   in them, less three times its links, without boilerplate. It votes for its outermost article
+   or main, or without one for its deepest container with SHARE of its text, named by the path of
+   tags and classes, digits taken out.
 2. Spark sums the votes of each host and path, and keeps a host's leading paths (at most PATHS,
    none with less than LEAST_VOTES of the leader's).
 3. Every page is extracted again, from the first of its host's paths that holds half of the
-   page's text, or else from its own container.
+   page's text, or else from its own container. What stands around a container other than an
+   article or main is text too, unless it is mostly links.
 
 Boilerplate are scripts, styles, forms, navigation, headers outside articles, footers, asides,
 and elements whose class or id names a menu, sidebar, notice, advert, form or reader comments.
@@ -167,9 +169,24 @@ def _weights(found: list[Block]) -> tuple[Counter, int]:
     return weights, sum(b.weight for b in found)
 
 
+def _top(path: str) -> str:
+    """The path up to its outermost article or main, or "" without one."""
+    steps = path.split("/")
+    place = next((i for i, s in enumerate(steps) if s.split(".")[0] in ("article", "main")), None)
+    return "" if place is None else "/".join(steps[:place + 1])
+
+
 def own_path(found: list[Block]) -> tuple[str, float]:
-    """The deepest container with SHARE of the page's text, and its share; "" for the page."""
+    """Where the page's text stands, and its share there; "" for the page.
+
+    The outermost article or main if those hold HOLDS of the text, else the deepest container
+    with SHARE of it.
+    """
     weights, total = _weights(found)
+    tops = [(w, path) for path, w in weights.items() if path and path == _top(path)]
+    if total and sum(w for w, _ in tops) >= HOLDS * total:
+        weight, path = max(tops)
+        return path, weight / total
     fitting = [(path.count("/"), w, path) for path, w in weights.items() if total and w >= SHARE * total]
     if not fitting:
         return "", 1.0
@@ -177,11 +194,50 @@ def own_path(found: list[Block]) -> tuple[str, float]:
     return path, weight / total
 
 
+def _is_page(path: str) -> bool:
+    return path.rpartition("/")[2].split(".")[0] in ("", "body")
+
+
+def _is_text(found: list[Block]) -> bool:
+    """Whether blocks are text in the main, not links."""
+    return 2 * sum(b.weight for b in found) >= sum(len(b.text) for b in found)
+
+
+def _beside(found: list[Block], path: str) -> list[Block]:
+    """The blocks directly in a container, and those of its containers, that are not lists of links."""
+    depth = path.count("/")
+    groups: dict[object, list[Block]] = {}
+    for i, b in enumerate(found):
+        groups.setdefault(b.containers[depth] if len(b.containers) > depth else i, []).append(b)
+    return [b for group in groups.values() if _is_text(group) for b in group]
+
+
 def extract(found: list[Block], paths: list[str]) -> str:
-    """The text under the first path that holds enough of it, or else under the page's own."""
+    """The text at the first path that holds enough of it, or else at the page's own, and around it.
+
+    The body as a host's path says nothing. An article or main is taken whole, with other articles that are not links. From any other
+    container the way goes up: an outer one is taken whole if what it adds is text, and else
+    without its lists of links; the body never whole.
+    """
     weights, total = _weights(found)
-    path = next((p for p in paths if total and weights[p] >= HOLDS * total), own_path(found)[0])
-    return " ".join(b.text for b in found if not path or path in b.containers)
+    path = next((p for p in paths if not _is_page(p) and total and weights[p] >= HOLDS * total), own_path(found)[0])
+    if not path:
+        return " ".join(b.text for b in found)
+    path = _top(path) or path
+    kept = {id(b) for b in found if path in b.containers}
+    if _top(path):
+        others: dict[str, list[Block]] = {}
+        for b in found:
+            if id(b) not in kept and b.containers and _top(b.containers[-1]):
+                others.setdefault(_top(b.containers[-1]), []).append(b)
+        kept.update(id(b) for group in others.values() if _is_text(group) for b in group)
+    else:
+        while path:
+            path = path.rpartition("/")[0]
+            added = [b for b in found if id(b) not in kept and (not path or path in b.containers)]
+            whole = not _is_page(path) and _is_text(added)
+            kept.update(id(b) for b in (added if whole else _beside(added, path)))
+    return " ".join(b.text for b in found if id(b) in kept)
 
 
 def host(url: Column) -> Column:
