@@ -191,6 +191,27 @@ def test_nothing_of_an_article_is_lost(wrap, inner):
         assert html_text.extract(found, [path]) == whole
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="content-sidebar-wrap"><h1>Title</h1><p>{long}</p></div>',
+    '<div id="page" class="site has-sidebar"><article><h1>Title</h1><p>{long}</p></article></div>',
+    '<div id="page" class="site with sidebar"><div><h1>Title</h1><p>{long}</p></div></div>',
+    '<article class="post no-comments"><h1>Title</h1><p>{long}</p></article>',
+    '<article><header class="entry-header"><h1>Title</h1></header><p>{long}</p></article>',
+    '<article><div class="post-header"><h1>Title</h1></div><p>{long}</p></article>',
+    '<div class="search-result">Title</div><div class="search-result">{long}</div><div class="search-result">x</div>',
+    '<ul class="widget"><li>Title</li><li>{long}</li></ul>'])
+def test_names_skip_no_page_or_article(page):
+    text = html_text.extract(html_text.blocks(page.format(long="many words of text " * 9)), [])
+    assert text.startswith("Title many words of text") and text.count("many words") == 9
+
+
+def test_names_still_skip_what_stands_beside_an_article():
+    page = f"<div class=ad>{'buy ' * 40}</div><article>short<div class=share>Tell</div></article><p id=cookies>ok"
+    assert html_text.extract(html_text.blocks(page), []) == "short"
+    page = f"<div><div class=sidebar>{'x ' * 40}</div><div>{'text ' * 50}</div><div class=comments>{'y ' * 50}</div></div>"
+    assert html_text.extract(html_text.blocks(page), []).split() == ["text"] * 50
+
+
 def test_articles_of_two_kinds_are_both_kept():
     page = f"<body><article class=a>{'one ' * 60}</article><article class=b>{'two ' * 40}</article><div>aside text</div>"
     assert html_text.extract(html_text.blocks(page), []).split() == ["one"] * 60 + ["two"] * 40

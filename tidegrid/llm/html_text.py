@@ -12,6 +12,9 @@
 
 Boilerplate are scripts, styles, forms, navigation, headers outside articles, footers, asides,
 and elements whose class or id names a menu, sidebar, notice, advert, form or reader comments.
+A name counts only on an element that is no article or main and holds none, nor a header or h1
+inside one, and if elements named alike hold less than HOLDS of the page's text, or an article
+or main elsewhere has text; it never counts where no text would be left.
 Votes are summed before they are shuffled. Pages of one host are dealt over SALTS join keys, so
 that a host with a third of all pages is many small groups.
 
@@ -57,7 +60,8 @@ _CONTAINERS = {"body", "main", "article", "section", "div", "td", "center"}
 _SKIPPED = {"nav", "footer", "aside", "form", "button", "select", "svg", "head", "template", "dialog", "menu",
             "object", "canvas", "audio", "video", "map"}
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|form|gdpr|header"
+    r"(?:^|[\s_-])(?<!\bhas[_-])(?<!\bno[_-])"
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|form|gdpr|header"
     r"|login|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|pager|popup|promo\w*|related|replies"
     r"|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|topbar|widget)(?:$|[\s_-])",
     re.I)
@@ -69,6 +73,16 @@ class _Open:
     skipped: bool
     path: str
     containers: tuple[str, ...]
+    named: tuple[_Named, ...] = ()
+    inside: bool = False
+
+
+@dataclass(eq=False)
+class _Named:
+    """An element with a name of boilerplate; ``exempt`` if the name can't count."""
+
+    key: str
+    exempt: bool = False
 
 
 @dataclass
@@ -78,6 +92,8 @@ class Block:
     containers: tuple[str, ...]
     text: str
     weight: int = field(default=0)
+    named: tuple[_Named, ...] = ()
+    inside: bool = False  # an article or main
 
 
 def _attribute(pattern: re.Pattern, attributes: str) -> str:
@@ -101,7 +117,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal links
         text = " ".join("".join(parts).split())
         if text and not stack[-1].skipped:
-            done.append(Block(stack[-1].containers, text, max(0, len(text) - 3 * links)))
+            top = stack[-1]
+            done.append(Block(top.containers, text, max(0, len(text) - 3 * links), top.named, top.inside))
         parts.clear()
         links = 0
 
@@ -148,16 +165,36 @@ def blocks(page: str) -> list[Block]:
         top = stack[-1]
         classes = _attribute(_CLASS, attributes)
         skipped = (top.skipped or tag in _SKIPPED
-                   or tag == "header" and not any(o.tag in ("article", "main") for o in stack)
-                   or tag not in ("html", "body") and bool(
-                       _NAMES.search(classes) or _NAMES.search(_attribute(_ID, attributes))))
+                   or tag == "header" and not top.inside)
+        named, inside = top.named, top.inside or tag in ("article", "main")
+        if inside and not top.inside or tag == "h1" and inside:
+            for element in named:
+                element.exempt = True
+        if tag not in ("html", "body", "article", "main", "h1") and not (tag == "header" and inside):
+            name = _attribute(_ID, attributes)
+            if _NAMES.search(classes) or _NAMES.search(name):
+                key = f"{top.path}/{_step(tag, classes)}#{re.sub(r'\d+', '', name.lower())}"
+                named = (*named, _Named(key))
         if tag in _CONTAINERS:
             path = f"{top.path}/{_step(tag, classes)}"
-            stack.append(_Open(tag, skipped, path, (*top.containers, path)))
+            stack.append(_Open(tag, skipped, path, (*top.containers, path), named, inside))
         else:
-            stack.append(_Open(tag, skipped, top.path, top.containers))
+            stack.append(_Open(tag, skipped, top.path, top.containers, named, inside))
     close_block()
-    return done
+    return _without_named(done)
+
+
+def _without_named(found: list[Block]) -> list[Block]:
+    """The blocks outside elements that are boilerplate by their name."""
+    weights: Counter = Counter()
+    for b in found:
+        for key in {n.key for n in b.named if not n.exempt}:
+            weights[key] += b.weight
+    total = sum(b.weight for b in found)
+    plain = any(b.inside and b.weight and all(n.exempt for n in b.named) for b in found)
+    left = [b for b in found if not any(
+        not n.exempt and (plain or weights[n.key] < HOLDS * total or not total) for n in b.named)]
+    return left or found
 
 
 def _weights(found: list[Block]) -> tuple[Counter, int]:
@@ -215,9 +252,9 @@ def _beside(found: list[Block], path: str) -> list[Block]:
 def extract(found: list[Block], paths: list[str]) -> str:
     """The text at the first path that holds enough of it, or else at the page's own, and around it.
 
-    The body as a host's path says nothing. An article or main is taken whole, with other articles that are not links. From any other
-    container the way goes up: an outer one is taken whole if what it adds is text, and else
-    without its lists of links; the body never whole.
+    The body as a host's path says nothing. An article or main is taken whole, with other articles
+    that are not links. From any other container the way goes up: an outer one is taken whole if
+    what it adds is text, and else without its lists of links; the body never whole.
     """
     weights, total = _weights(found)
     path = next((p for p in paths if not _is_page(p) and total and weights[p] >= HOLDS * total), own_path(found)[0])
