@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,24 @@ def test_one_hot_minute_spreads_over_partitions(spark):
     assert ordered.orderBy("arrival").select("event_id").first()[0] == 0
 
 
+@pytest.mark.parametrize("ingest", [normalized.ingest, normalized.import_text_log])
+def test_a_log_that_grew_or_was_replaced_is_not_taken_for_the_old_one(spark, tmp_path, ingest):
+    path, out = tmp_path / "raw.csv", str(tmp_path / "out")
+    path.write_text("\n".join((HEADER, line(ship="a"))) + "\n")
+    ingest(spark, str(path), out)
+    ingest(spark, str(path), out)
+    before = path.stat()
+    with path.open("a") as grown:
+        grown.write(line(ship="b") + "\n")
+    os.utime(path, ns=(before.st_atime_ns, before.st_mtime_ns))
+    with pytest.raises(ValueError):
+        ingest(spark, str(path), out)
+    path.write_text("\n".join((HEADER, line(ship="c"))) + "\n")
+    os.utime(path, ns=(before.st_atime_ns, before.st_mtime_ns + 10**9))
+    with pytest.raises(ValueError):
+        ingest(spark, str(path), out)
+
+
 def test_ingest_happens_once_for_the_same_input(spark, log, tmp_path):
     out = str(tmp_path / "out")
     path = log(line())
