@@ -1,5 +1,6 @@
 """Defined results of the operators: nulls, empty and long texts, ties, repeats, odd columns."""
 
+import collections
 import re
 
 import numpy as np
@@ -251,6 +252,32 @@ def test_decontamination(spark, odd, prose):  # noqa: F811
     assert decontamination.leaks(rows.limit(0), items).count() == decontamination.leaks(rows, items.limit(0)).count() == 0
 
 
+def test_texts_shorter_than_an_item_leak_it_too(spark, prose, documents):  # noqa: F811
+    item = prose(50, 11).split()
+    others = [prose(n, n).split() for n in (12, 48, 49, 60)]
+    repeated = "a b c d e f".split() * 4
+    texts = [item[:48], item[1:], item[5:45], item[:39], item[:3], item[:-3] + ["zz"], others[0][:11], ["x"], [],
+             others[3][4:], repeated[:22], repeated[:12], item + ["more"]]
+    items = [item, *others, repeated, item[:6], item[:4]]
+    found = {(r["id"], r["item_id"]): r for r in decontamination.leaks(
+        documents(*((i, " ".join(t)) for i, t in enumerate(texts))),
+        spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")).collect()}
+
+    def counted(own, n):
+        return collections.Counter(tuple(own[p:p + n]) for p in range(len(own) - n + 1))
+    expected = {}
+    for i, text in enumerate(texts):
+        for j, own in enumerate(items):
+            n, best = min(5, len(own)), 0.0
+            for p in range(max(1, len(text) - len(own) + 1)):
+                a, b = counted(text[p:p + len(own)], n), counted(own, n)
+                best = max(best, (a & b).total() / max(1, (a | b).total()))
+            if best >= 0.8:
+                expected[i, j] = best
+    assert {k: r["similarity"] for k, r in found.items()} == pytest.approx(expected) and (0, 0) in expected
+    assert (found[0, 0]["start"], found[0, 0]["n_words"]) == (0, 48) and {(1, 0), (5, 0), (10, 5)} <= set(expected)
+
+
 def test_the_hamming_index_finds_all_within_the_radius():
     draw = np.random.default_rng(0)
     length = decontamination._Length(30, 5, 0.8, [(i, draw.integers(0, 1 << 63, 26, np.uint64)) for i in range(40)])

@@ -14,11 +14,15 @@ weighted Jaccard similarity of their ``n``-word shingles, each weighing as often
    three standard deviations.
 4. The exact weighted similarity of what is left. For each text and item the best window counts.
 
+A text shorter than an item is one window of all its words. Of ``a`` and ``b`` shingle places
+``t (a + b) / (1 + t)`` must be shared; the items that share as many are looked up by shingle,
+and the exact similarity decides, without fingerprints.
+
 Items go to the tasks in groups of at most some MOST_WORDS words, one pass over the texts for
 each group, so what is broadcast has a fixed bound whatever the benchmark's size.
 
-Defined results: null texts, texts shorter than an item, and items without a word leak nothing;
-an item of fewer than ``n`` words is one shingle; repeated rows and items are reported each; of
+Defined results: null texts and items without a word leak nothing; an item of fewer than ``n``
+words is one shingle, and a text of fewer words than a shingle holds none; repeated rows and items are reported each; of
 equally good windows the first counts; empty tables give empty results. Other columns are not
 read (``clean`` hands them on).
 """
@@ -61,6 +65,11 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _POPCOUNT[a ^ b].sum(axis=-1, dtype=np.int32)
 
 
+def least_shared(a, b, threshold: float):
+    """How many places two sets of ``a`` and ``b`` places must share to be similar enough."""
+    return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
+
+
 class _Length:
     """The items of one number of words: shingles, fingerprints, and the block index."""
 
@@ -70,10 +79,19 @@ class _Length:
         places = np.array([s for _, s in items])
         self.least = int(np.ceil(2 * threshold / (1 + threshold) * places.shape[1] - 1e-9))
         self.sorted = np.sort(places, axis=1)
+        order = np.argsort(places, axis=None, kind="stable")
+        self.shingles, self.item_of = places.ravel()[order], (order // places.shape[1]).astype(np.int32)
         self.prints = simhash(places)
         near = _POPCOUNT[np.arange(256, dtype=np.uint8)[:, None, None] ^ self.prints[None]] <= RADIUS // BLOCKS
         self.index = np.packbits(near, axis=1).transpose(2, 0, 1).copy()  # block, value, items
 
+    def sharing(self, window: np.ndarray, least: int) -> np.ndarray:
+        """The items that have ``least`` places or more with shingles of the window."""
+        values = np.unique(window)
+        low, high = np.searchsorted(self.shingles, values, "left"), np.searchsorted(self.shingles, values, "right")
+        found = [self.item_of[a:b] for a, b in zip(low, high) if b > a]
+        return np.flatnonzero(np.bincount(np.concatenate(found)) >= least) if found else np.empty(0, np.int64)
+
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Windows and items whose fingerprints lie within RADIUS."""
         found = np.zeros((len(prints), self.index.shape[2]), np.uint8)
@@ -121,15 +139,21 @@ class Items:
             maybe = np.flatnonzero(low_bits[found & np.uint64((1 << 20) - 1)])
             maybe = maybe[np.isin(found[maybe], known)]
             has = np.bincount(np.searchsorted(first, places[maybe], "right") - 1, minlength=len(first) - 1)
-            for row in np.flatnonzero(has >= min(x.least for x in lengths)).tolist():
-                a, b = np.searchsorted(places, [first[row], first[row + 1]])
-                self._row(row, found[a:b], lengths, known, best)
+            bounds = np.searchsorted(places, first)
+            own = np.diff(bounds)
+            widest = max(x.sorted.shape[1] for x in lengths)
+            short = (own > 0) & (own < widest) & (has >= least_shared(own, own + 1, self.threshold))
+            for row in np.flatnonzero(short | (has >= min(x.least for x in lengths))).tolist():
+                self._row(row, found[bounds[row]:bounds[row + 1]], lengths, known, best)
         return best
 
     def _row(self, row: int, own: np.ndarray, lengths, known, best) -> None:
         hits = np.concatenate([[0], np.cumsum(np.isin(own, known))])
         for x in lengths:
             width = x.n_words - x.n + 1
+            if len(own) < width:
+                self._short(row, own, int(hits[-1]), x, best)
+                continue
             starts = np.flatnonzero(hits[width:] - hits[:-width] >= x.least)
             if not len(starts):
                 continue
@@ -143,6 +167,20 @@ class Items:
                     best[key] = max(best.get(key, new), new)
 
 
+    def _short(self, row: int, own: np.ndarray, known: int, x: _Length, best) -> None:
+        """A text with fewer words than the items of ``x``: all of it is the window."""
+        least = int(least_shared(len(own), x.sorted.shape[1], self.threshold))
+        if known < least or len(own) < least:
+            return
+        own_print = simhash(own[None])[0]
+        for i in x.sharing(own, least):
+            similarity = weighted_similarity(x.sorted[i], own)
+            if similarity >= self.threshold - 1e-12:
+                key = (row, int(x.names[i]))
+                new = (similarity, 0, len(own) + x.n - 1, int(hamming(own_print, x.prints[i])))
+                best[key] = max(best.get(key, new), new)
+
+
 def _groups(benchmark: DataFrame, text: str, item_column: str) -> Iterator[list[Row]]:
     """The items in groups of bounded size, split by hash so that none passes through whole."""
     rows = benchmark.select(F.col(item_column).alias("item"), F.col(text).alias("text")).where("text IS NOT NULL")
