@@ -157,6 +157,21 @@ def test_quotations_across_buckets(spark, monkeypatch):
     assert sorted(place.values()) == list(range(40)) and all(place[r["turn"]] > place.get(r["parent_turn"], -1) for r in found)
 
 
+def test_wrapped_and_partial_quotations_find_their_source(spark):
+    long = "The harbour master asked for the list of all ships. It has to be sent before noon on Monday, please. Yes?"
+    wrapped = "> The harbour master asked for the list\n> of all ships. It has to be sent\n> before noon on Monday, please. Yes?"
+    rows = [(1, 0, "u", long), (1, 1, "a", "Which list do you mean, the one of all ships or another one?"),
+            (1, 2, "u", "nothing to see"), (1, 3, "a", wrapped + "\ndone"), (1, 4, "u", "> It has to be sent\nwhy"),
+            (1, 5, "a", "> the one of\n>   all ships\nboth"), (1, 6, "u", ">> which list do you mean,\n> why\nso"),
+            (1, 7, "a", "> this was never said by anyone here\nhm"), (1, 8, "u", "我们明天早上去港口看船"),
+            (1, 9, "a", "ok"), (1, 10, "u", "> 我们明天早上\n> 去港口看船\n好")]
+    found = quotation.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    assert {r["turn"]: (r["parent_turn"], r["quotes"]) for r in found.collect()} == {
+        0: (None, False), 1: (0, False), 2: (1, False), 3: (0, True), 4: (0, True), 5: (1, True), 6: (4, True),
+        7: (6, False), 8: (7, False), 9: (8, False), 10: (8, True)}
+    assert {r["text"] for r in found.collect() if r["turn"] in (3, 10)} == {"done", "好"}
+
+
 PAGE = """<html><body><div id="top-nav">Menu <a href=x>a</a></div><div class="content c12"><h1>Title</h1><p>One
  two &amp; three<p>Four <b>five</b>six<br>seven<div class="comments">Reader says hi</div><script>if (a < b) "</p>"</script>
 <form>Name</form></div><aside>more</aside><!-- <p>no</p> --><footer>end</footer>"""

@@ -2,10 +2,12 @@
 
 1. Every message is parsed into its own lines and quoted lines, by depth of ``>`` marks; the line
    that introduces a quotation ("... wrote:") goes with it.
-2. Quoted lines are normalised (white space, case) and hashed, and joined to the own lines of the
-   same conversation: each finds the latest earlier message that has it. The message that the
-   outermost quotation shares most characters with is the parent; without a match it is the
-   message before.
+2. Quoted lines of one level that follow each other are a passage. It is normalised (white space
+   over line ends, case) and every window of WORDS words, or all of a shorter passage, is hashed,
+   and every single line. They are joined to the windows and lines of the own texts of the same
+   conversation, of which only the sizes asked for there are made: each finds the latest earlier
+   message that has it. The message that the outermost quotation shares most characters with,
+   counted window by window, is the parent; without a match it is the message before.
 3. Messages that follow each other without going back form a run. A run that quotes an earlier
    message hangs below it. ``place`` numbers a conversation depth first: a run, then the runs that
    go back into it, those that go back least first.
@@ -36,24 +38,47 @@ from tidegrid.llm.shipping import ship
 from tidegrid.session import materialize
 
 SPAN = 1024
+WORDS = 5
+SALTS = 64
 NO_TURN = (1 << 62)
 
 _MARKS = re.compile(r"\s*((?:>\s?)+)(.*)", re.S)
 _INTRODUCTION = re.compile(r".*\b(?:wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*", re.I | re.S)
-_LINE = StructType([StructField("level", LongType()), StructField("hash", LongType()),
-                    StructField("size", LongType())])
+_WORD = re.compile(r"[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]|[^\s\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]+")
+_UNIT = StructType([StructField("level", LongType()), StructField("words", LongType()),
+                    StructField("hash", LongType()), StructField("size", LongType())])
 
 
-def _hashed(line: str) -> tuple[int, int]:
+def _hashed(line: str) -> int:
+    return xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _line(line: str) -> tuple[int, int]:
     plain = " ".join(line.split()).lower()
-    return xxhash.xxh64_intdigest(plain.encode("utf-8", "surrogatepass")) - (1 << 63), len(plain)
+    return _hashed(plain), len(plain) + 1  # a whole line goes before as many words elsewhere
+
+
+def _windows(text: str, n: int) -> Iterator[tuple[int, int]]:
+    """(hash, size) of every window of ``n`` words; an ideograph is a word."""
+    words = _WORD.findall(text.lower())
+    for p in range(len(words) - n + 1):
+        window = " ".join(words[p:p + n])
+        yield _hashed(f"\0{n}\0{window}"), len(window)
+
+
+def own_units(text: str, sizes: Iterable[int]) -> set[int]:
+    """Hashes of the windows of so many words, and for size 0 of the lines, of an own text."""
+    found = {h for n in sizes if n for h, _ in _windows(text, n)}
+    if 0 in sizes:
+        found.update(_line(line)[0] for line in text.split("\n") if line.strip())
+    return found
 
 
-def parsed(text: str) -> tuple[str, list[tuple[int, int, int]]]:
-    """The text without quotations, and (level, hash, size) of each line; own lines have level 0."""
+def parsed(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
+    """The text without quotations, and (level, words, hash, size) of what is quoted; lines have 0 words."""
     own: list[str] = []
-    lines: list[tuple[int, int, int]] = []
-    quoted = False
+    passages: list[tuple[int, list[str]]] = []
+    quoted, level = False, 0
     for line in text.split("\n"):
         found = _MARKS.fullmatch(line)
         if found:
@@ -61,15 +86,22 @@ def parsed(text: str) -> tuple[str, list[tuple[int, int, int]]]:
                 own.pop()
             if not quoted and own and _INTRODUCTION.fullmatch(own[-1]):
                 own.pop()
-            quoted = True
             if found[2].strip():
-                lines.append((found[1].count(">"), *_hashed(found[2])))
+                if level != found[1].count(">"):
+                    level = found[1].count(">")
+                    passages.append((level, []))
+                passages[-1][1].append(found[2])
+            quoted = True
         else:
-            quoted = False
+            quoted, level = False, 0
             own.append(line)
-    lines.extend((0, *_hashed(line)) for line in own if line.strip())
-    return ("\n".join(own).strip() if any(level for level, *_ in lines) or len(own) < text.count("\n") + 1
-            else text), lines
+    units: list[tuple[int, int, int, int]] = []
+    for level, lines in passages:
+        units.extend((level, 0, *_line(line)) for line in lines)
+        passage = "\n".join(lines)
+        n = min(WORDS, len(_WORD.findall(passage)))
+        units.extend((level, n, *unit) for unit in _windows(passage, n))
+    return ("\n".join(own).strip() if passages or len(own) < text.count("\n") + 1 else text), units
 
 
 def _parser(schema: pa.Schema):
@@ -77,14 +109,23 @@ def _parser(schema: pa.Schema):
         for batch in batches:
             found = [(None, []) if t is None else parsed(t) for t in batch.column("text").to_pylist()]
             bodies = pa.array([b for b, _ in found], pa.string())
-            lines = pa.array([[dict(zip(("level", "hash", "size"), x)) for x in own] for _, own in found],
-                             schema.field("lines").type)
+            units = pa.array([[dict(zip(_UNIT.names, x)) for x in own] for _, own in found],
+                             schema.field("units").type)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("conv_id", "conv", "turn", "at", "role")] + [bodies, lines],
+                [batch.column(c) for c in ("conv_id", "conv", "turn", "at", "role")] + [bodies, units],
                 schema=schema)
     return run
 
 
+def _owner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for conv, at, text, sizes in zip(*(batch.column(c).to_pylist() for c in ("conv", "at", "text", "sizes"))):
+            found = sorted(own_units(text, sizes))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([conv] * len(found), pa.string()), pa.array([at] * len(found), pa.int64()),
+                 pa.array(found, pa.int64())], names=["conv", "at", "hash"])
+
+
 def latest(rows: DataFrame, keys: list[str], at: str, value: Column, name: str, own: bool) -> DataFrame:
     """Adds the largest ``value`` among the rows of the same keys at a smaller (or equal) ``at``.
 
@@ -103,10 +144,20 @@ def latest(rows: DataFrame, keys: list[str], at: str, value: Column, name: str,
 
 def linked(messages: DataFrame) -> DataFrame:
     """(conv, at, link): the earlier message that a message quotes, if one is found."""
-    lines = messages.select("conv", "at", F.explode("lines").alias("line")).select("conv", "at", "line.*")
-    seen = lines.groupBy("conv", "hash", "at").agg(
-        F.max(F.col("level") == 0).alias("original"), F.min(F.when(F.col("level") > 0, F.col("level"))).alias("level"),
-        F.max("size").alias("size"))
+    units = materialize(messages.select("conv", "at", F.explode("units").alias("unit")).select("conv", "at", "unit.*"),
+                        "quote-units")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    sizes = units.groupBy("conv").agg(F.collect_set("words").alias("sizes"))
+    asked = messages.where("text IS NOT NULL").select(
+        "conv", "at", "text", F.pmod(F.xxhash64("at", "text"), F.lit(SALTS)).alias("salt")).join(
+        sizes.withColumn("salt", F.explode(salts)), ["conv", "salt"]).select("conv", "at", "text", "sizes")
+    own = asked.mapInArrow(_owner, "conv string, at long, hash long").join(
+        units.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi")
+    seen = units.select("conv", "hash", "at", "level", "size", F.lit(False).alias("original")).unionByName(
+        own.select("conv", "hash", "at", F.lit(None).cast("long").alias("level"),
+                   F.lit(None).cast("long").alias("size"), F.lit(True).alias("original")))
+    seen = seen.groupBy("conv", "hash", "at").agg(
+        F.max("original").alias("original"), F.min("level").alias("level"), F.max("size").alias("size"))
     found = latest(seen, ["conv", "hash"], "at", F.when(F.col("original"), F.col("at")), "source", own=False)
     votes = found.where("level IS NOT NULL AND source IS NOT NULL").groupBy("conv", "at", "level", "source").agg(
         F.sum("size").alias("size"))
@@ -140,7 +191,7 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
         F.col(turn).alias("turn"), F.coalesce(F.col(turn).cast("long"), F.lit(NO_TURN)).alias("at"),
         F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     kind = StructType([*(source.schema[c] for c in ("conv_id", "conv", "turn", "at", "role")),
-                       StructField("text", StringType()), StructField("lines", ArrayType(_LINE))])
+                       StructField("text", StringType()), StructField("units", ArrayType(_UNIT))])
     messages = materialize(source.mapInArrow(_parser(to_arrow_schema(kind)), kind), "quote-messages")
 
     turns = messages.select("conv", "at").distinct()
