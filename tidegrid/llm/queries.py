@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegrid.llm import (
-    decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing, quotation, sharding,
-    substring_dedup)
+    bpe, conversation_repair, decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing,
+    prefix_trie, quotation, sharding, substring_dedup)
 from tidegrid.llm.oracles import ORACLES  # noqa: F401
 from tidegrid.session import configure
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 40
 
 
@@ -84,6 +85,25 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.with_edits(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.whole(conversation_repair.repair(rows)).withColumnRenamed("conv", "conv_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_TOKENIZER)
+    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_ngram_join": op2_ngram_join,
@@ -95,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_order_minhash": op10_order_minhash,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_bpe": op13_bpe,
 }
