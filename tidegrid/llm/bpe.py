@@ -8,11 +8,10 @@ itself, the one before it, and the symbol that went) are updated up to the root,
 holds no pair. A piece of n bytes takes n log n steps, also one of a million letters.
 
 Small trees are grown side by side, as rows of one array for each size; a piece of more than
-WIDE bytes has a tree of its own. Each distinct part of a chunk is encoded once: a part starts at
-a space that follows no white space, where the pattern can never look across.
+WIDE bytes has a tree of its own. Each distinct piece of a chunk is merged once.
 
 Scale: rows are independent, so there is no shuffle. A task holds one chunk of texts (or one
-text), and remembers at most some CACHED parts and pieces.
+text), and remembers some CACHED pieces.
 
 Defined results: a null text counts as empty and has no ids; ids that the vocabulary lacks, and
 nulls among ids, decode to nothing; null ids decode to the empty text; bytes that are no UTF-8
@@ -29,21 +28,24 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.llm import chunks
 from tidegrid.llm.shipping import ship
 
 TEXT_BYTES = 2 << 20
-CACHED = 300_000
+CACHED = 500_000
 WIDE = 64
 FOREST_CELLS = 1 << 18
-
-# Fixed value: the pattern of byte-level tokenizers; white space is the Unicode property.
-PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-_BEFORE_SPACE = re.compile(r"\s ")
+DECODED_IDS = 1 << 20
+
+# The letters, numbers and white space among the first 256 characters, of which the
+# pattern of byte-level tokenizers is made. For texts with others the library splits, because
+# which of them are letters depends on its version of Unicode.
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_BEYOND = re.compile(r"[^\x00-\xff]")
 _PART = re.compile(r"(?<=\S)(?= )")
 
 _NO_PAIR = np.iinfo(np.int64).max
@@ -184,46 +186,54 @@ class Codec:
         self.byte_ids = np.array([vocabulary[name] for name in names], np.int64)
         byte_of = {name: bytes([b]) for b, name in enumerate(names)}
         self.added = {t["content"]: t["id"] for t in rules["added_tokens"]}
-        self.shown = {i: b"".join(byte_of[c] for c in token) for token, i in vocabulary.items()}
-        self.shown.update((i, token.encode()) for token, i in self.added.items())
+        shown = {i: b"".join(byte_of[c] for c in token) for token, i in vocabulary.items()}
+        shown.update((i, token.encode()) for token, i in self.added.items())
+        # All tokens' bytes, and where each begins; the last one is empty and stands for unknown ids.
+        self.n_ids = max(shown) + 1
+        own = [shown.get(i, b"") for i in range(self.n_ids + 1)]
+        self.spelled = np.frombuffer(b"".join(own), np.uint8)
+        self.lengths = np.array([len(x) for x in own], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
         by_length = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile(f"({'|'.join(map(re.escape, by_length))})") if by_length else None
-        self.pieces_of = regex.compile(PATTERN).findall
         self.library_split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _keys(self, text: str) -> list[str]:
-        """The parts of a text, an added token being a part."""
-        segments = self.cut.split(text) if self.cut else [text]
-        keys = []
-        for place, segment in enumerate(segments):
-            if place % 2:
-                keys.append(segment)
-            elif _BEFORE_SPACE.search(segment):
-                keys += _PART.split(segment)
-            elif segment:
-                first, *rest = segment.split(" ")
-                keys.append(first)
-                keys += [" " + part for part in rest]
-        return keys
-
-    def _split(self, part: str) -> list[str]:
-        if part.isascii() or max(part) <= "\xff":
-            return self.pieces_of(part)
-        # Which characters are letters depends on the version of Unicode: ask the library.
-        return [part[a:b] for _, (a, b) in self.library_split(part)]
-
-    def _learn_pieces(self, new: list[str]) -> None:
+        self.known: dict[str, bytes] = {}
+
+    def _pieces(self, text: str) -> list[str]:
+        if not _BEYOND.search(text):
+            return _PIECE.findall(text)
+        # A part starts at a space that follows no white space: the pattern never looks across.
+        pieces = []
+        for part in _PART.split(text):
+            if _BEYOND.search(part):
+                pieces += [part[a:b] for _, (a, b) in self.library_split(part)]
+            else:
+                pieces += _PIECE.findall(part)
+        return pieces
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text in order; an added token is a piece."""
+        if not self.cut or not self.cut.search(text):
+            return self._pieces(text)
+        pieces = []
+        for place, segment in enumerate(self.cut.split(text)):
+            pieces += [segment] if place % 2 else self._pieces(segment)
+        return pieces
+
+    def _learn(self, new: set[str]) -> None:
+        """Merge pieces that are not known yet, each once."""
         by_width: dict[int, list[tuple[str, bytes]]] = {}
         for piece in new:
-            raw = piece.encode()
-            by_width.setdefault(1 << max(0, len(raw) - 1).bit_length(), []).append((piece, raw))
+            if piece in self.added:
+                self.known[piece] = np.array([self.added[piece]], "<i4").tobytes()
+            else:
+                raw = piece.encode()
+                by_width.setdefault(1 << max(0, len(raw) - 1).bit_length(), []).append((piece, raw))
         for width, own in by_width.items():
             if width > WIDE:
                 for piece, raw in own:
                     ids = self.merges.single(self.byte_ids[np.frombuffer(raw, np.uint8)].tolist())
-                    self.pieces[piece] = np.array(ids, "<i4").tobytes()
+                    self.known[piece] = np.array(ids, "<i4").tobytes()
                 continue
             for start in range(0, len(own), most := max(1, FOREST_CELLS // width)):
                 block = own[start:start + most]
@@ -235,36 +245,53 @@ class Codec:
                 kept = symbols >= 0
                 flat, upto = symbols[kept].astype("<i4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
                 for (piece, _), a, b in zip(block, [0, *upto], upto):
-                    self.pieces[piece] = flat[a:b]
-
-    def _learn(self, keys: set[str]) -> None:
-        if len(self.parts) > CACHED:
-            self.parts.clear()
-        if len(self.pieces) > CACHED:
-            self.pieces.clear()
-        split = {part: self._split(part) for part in keys if part not in self.parts and part not in self.added}
-        self._learn_pieces(list({p for own in split.values() for p in own if p not in self.pieces}))
-        known = self.pieces
-        for part, own in split.items():
-            self.parts[part] = b"".join([known[p] for p in own])
-        for token in keys & self.added.keys():
-            self.parts[token] = np.array([self.added[token]], "<i4").tobytes()
+                    self.known[piece] = flat[a:b]
 
     def encode(self, texts: list[str | None]) -> pa.Array:
         """Lists of ids."""
-        keys = [self._keys(text or "") for text in texts]
-        self._learn({key for own in keys for key in own})
-        known = self.parts
-        found = [b"".join([known[key] for key in own]) for own in keys]
+        pieces = [self.pieces(text or "") for text in texts]
+        if len(self.known) > CACHED:
+            self.known.clear()
+        known = self.known
+        self._learn({piece for own in pieces for piece in own if piece not in known})
+        found = [b"".join([known[piece] for piece in own]) for own in pieces]
         upto = np.cumsum([0, *(len(ids) // 4 for ids in found)])
         values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
         return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), values)
 
     def decode(self, ids: pa.Array) -> pa.Array:
         """Texts of lists of ids."""
-        shown = self.shown.get
-        return pa.array([b"".join([shown(i, b"") for i in own or ()]).decode("utf-8", "replace")
-                         for own in ids.to_pylist()], pa.string())
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        flat = pc.fill_null(pc.list_flatten(ids), -1).to_numpy(zero_copy_only=False)
+        flat = np.where((flat >= 0) & (flat < self.n_ids), flat, self.n_ids)
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        texts: list[pa.Array] = []
+        at = 0
+        while at < len(counts):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + DECODED_IDS, "right")) - 1)
+            own = flat[upto[at]:upto[end]]
+            lengths = self.lengths[own]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            raw = self.spelled[np.repeat(self.begins[own] - ends[:-1], lengths) + np.arange(ends[-1])]
+            edges = ends[upto[at:end + 1] - upto[at]]
+            texts.append(_texts(raw, edges))
+            at = end
+        return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
+
+
+def _texts(raw: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """UTF-8 between edges as strings, with replacement characters for what is none."""
+    data = raw.tobytes()
+    inner = raw[edges[:-1][edges[:-1] < len(raw)]]
+    try:
+        data.decode()
+        whole = not ((inner & 0xC0) == 0x80).any()
+    except UnicodeDecodeError:
+        whole = False
+    if whole:
+        return pa.StringArray.from_buffers(
+            len(edges) - 1, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(data))
+    return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(edges[:-1], edges[1:])], pa.string())
 
 
 @functools.lru_cache(maxsize=2)
