@@ -19,8 +19,8 @@ def test_batch_job_from_raw_log(spark, tmp_path):
     assert (rows(sinks.read_lines(spark, f"{out}/q2_week", Q2_RENDERED_SCHEMA))
             == rows(q2.q2_rendered(q2.q2_top3(positions, WEEK_DAYS))))
     stored = q2.stored_slot_totals(positions, WEEK_DAYS)
-    assert (rows(sinks.read_lines(spark, f"{out}/q2_week_emissions", Q2_RENDERED_SCHEMA))
-            == rows(q2.render(q2.q2_emissions(stored, WEEK_DAYS))))
+    assert (rows(sinks.read_lines(spark, f"{out}/q2_week_cumulative", Q2_RENDERED_SCHEMA))
+            == rows(q2.q2_cumulative_rendered(stored, WEEK_DAYS)))
 
 
 def test_batch_job_from_text_log(spark, tmp_path):
@@ -59,7 +59,7 @@ def test_one_window_has_no_cumulative_output(spark, positions):
     rows_ = positions(("2015-03-05 10:00", 40.0, 5.0), ("2015-03-06 10:00", 36.0, 15.0))
     reports = job.reports(rows_)
     assert reports["q2_week"].count() == 2
-    assert reports["q2_week_emissions"].count() == 0
+    assert reports["q2_week_cumulative"].count() == 0
 
 
 def test_slot_zone_moves_slots_but_not_windows(spark, positions):

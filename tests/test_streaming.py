@@ -8,7 +8,7 @@ from tidegrid.operators import aggregates
 from tidegrid.plans import job as batch_job, q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.sources import events, normalized, replay
-from tidegrid.streaming import cumulative, job, reports, runner
+from tidegrid.streaming import cumulative, job, periods, ranking_state, reports, runner
 
 WEST = (40.0, 5.0)
 SF = "/root/testdata/sf0.001"
@@ -63,11 +63,56 @@ def test_q2_equals_batch(spark, table, feed, days):
     assert rows(out, *batch.columns) == rows(batch)
 
 
-@pytest.mark.parametrize("report, plan", [
-    ("changelog", q2.q2_changelog), ("emissions", q2.q2_emissions)])
-def test_cumulative_equals_batch(spark, table, feed, report, plan):
-    out = cumulative.run_cumulative(stream(spark, feed), WEEK_DAYS, report)
-    assert rows(out) == rows(plan(q2.stored_slot_totals(table, WEEK_DAYS), WEEK_DAYS))
+def test_emissions_equal_batch(spark, table, feed):
+    out = cumulative.run_cumulative(stream(spark, feed), WEEK_DAYS, "emissions")
+    assert rows(out) == rows(q2.q2_emissions(q2.stored_slot_totals(table, WEEK_DAYS), WEEK_DAYS))
+
+
+@pytest.mark.parametrize("suppress_first", [True, False])
+def test_cumulative_state_goes_on_after_a_restart(spark, table, tmp_path, suppress_first):
+    """One run, and a run for each fortnight of the feed from the same checkpoint, give the same."""
+    def ranked(feed, out):
+        closed = periods.closed_windows(stream(spark, feed, 3), (WEEK_DAYS, MONTH_DAYS))
+        both = ranking_state.closed_and_ranked(closed, suppress_first)
+        runner.start_file_sink(both, out).awaitTermination()
+        return ranking_state.ranked_rows(spark.read.schema(both.schema).parquet(out))
+
+    whole = replay.publish(table, str(tmp_path / "whole"))
+    expected = ranked(whole, str(tmp_path / "once"))
+    days = sorted(r[0] for r in table.select("event_date").distinct().collect())
+    parts = str(tmp_path / "parts")
+    for start in range(0, len(days), 14):
+        replay.append_days(table.where(F.col("event_date").isin(days[start:start + 14])), parts)
+        found = ranked(parts, str(tmp_path / "again"))
+    replay.append_sentinel(spark, parts)
+    found = ranked(parts, str(tmp_path / "again"))
+    assert rows(found) == rows(expected)
+    for period in (WEEK_DAYS, MONTH_DAYS):
+        stored = q2.stored_slot_totals(table, period)
+        own = found.where(F.col("days") == period)
+        assert rows(q2.render(own)) == rows(q2.q2_cumulative_rendered(stored, period, suppress_first))
+        assert rows(own.where("changed"), "window_start", "rank_a", "rank_p") == rows(
+            q2.q2_changelog(stored, period, suppress_first))
+
+
+def test_ranked_windows_by_hand():
+    """Equal counts count once, silent sectors keep their score, a window seen again is passed over."""
+    def closed(window, cell, am, pm, west=True, arrival=0):
+        return {"window_micros": window, "cell": cell, "am": am, "pm": pm, "west": west, "last_arrival": arrival}
+    memory = ranking_state.Memory()
+    first = list(ranking_state.ranked([closed(1, 0, 5, 0), closed(1, 1, 3, 2)], memory))
+    assert first == [] and dict(memory.all_scores()) == {0: (5, 0), 1: (3, 2)}
+    rows_ = [closed(3, 1, 9, 2, False, 7), closed(2, 0, 5, 1, True, 3), closed(1, 2, 99, 99)]
+    found = list(ranking_state.ranked(rows_, memory))
+    assert [(w["window_micros"], w["cells_a"], w["cells_p"], w["last_west"], w["changed"]) for w in found] == [
+        (2, [0, 1], [1, 0], True, True), (3, [1, 0], [1, 0], False, True)]
+    assert list(ranking_state.ranked(rows_, memory)) == []
+
+
+def test_one_scan_and_one_aggregation_for_both_periods(spark, feed):
+    plan = plan_of(periods.closed_windows(stream(spark, feed), (WEEK_DAYS, MONTH_DAYS)))
+    assert plan.count("StateStoreSave") == 1 and plan.count("StreamingRelation") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
 
 
 def test_streams_hash_aggregate(spark, feed):
@@ -131,17 +176,16 @@ def test_counts_are_observed(spark, table, feed):
 
 def test_both_periods_together(spark, table, feed, tmp_path):
     out = str(tmp_path / "out")
-    for query in job.start_all(spark, feed, out, finite=True).values():
-        query.awaitTermination()
+    job.start_feed(spark, feed, out, finite=True).awaitTermination()
     batch = batch_job.reports(table)
     for name, days in job.PERIODS.items():
         for report, schema in (("q1", Q1_RENDERED_SCHEMA), ("q2", Q2_RENDERED_SCHEMA)):
             lines = sinks.read_lines(spark, f"{out}/{name}/{report}", schema)
             assert rows(lines) == rows(batch[f"{report}_{name}"])
-        stored = q2.stored_slot_totals(table, days)
-        for report, plan in (("changelog", q2.q2_changelog), ("emissions", q2.q2_emissions)):
-            found = cumulative.read_report(spark, f"{out}/{name}", report)
-            assert rows(found) == rows(plan(stored, days))
+        lines = sinks.read_lines(spark, f"{out}/{name}/q2_cumulative", Q2_RENDERED_SCHEMA)
+        assert rows(lines) == rows(batch[f"q2_{name}_cumulative"])
+        changes = spark.read.text(f"{out}/{name}/q2_changelog")
+        assert changes.count() == q2.q2_changelog(q2.stored_slot_totals(table, days), days).count()
 
 
 def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
@@ -152,8 +196,8 @@ def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
     rest = totals.where(F.col("window_start") > second)
     for closed, batch_id in ((first, 1), (rest, 4), (rest, 4), (first, 1)):
         cumulative.record_windows(closed, batch_id, WEEK_DAYS, out)
-    assert (rows(cumulative.read_report(spark, out, "changelog"))
-            == rows(q2.q2_changelog(totals, WEEK_DAYS)))
+    assert (rows(cumulative.read_report(spark, out, "emissions"))
+            == rows(q2.q2_emissions(totals, WEEK_DAYS)))
 
 
 def test_half_a_day_in_the_feed_is_completed(spark, positions, tmp_path):

@@ -43,9 +43,8 @@ def main(argv: list[str] | None = None) -> None:
                                              args.source_tz, args.draught_compat)
         replay.publish(positions, f"{args.out}/feed")
     else:
-        for query in stream_job.start_all(spark, args.source, args.out, args.slot_tz,
-                                          finite=not args.continuous).values():
-            query.awaitTermination()
+        stream_job.start_feed(spark, args.source, args.out, args.slot_tz,
+                              finite=not args.continuous).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -21,7 +21,7 @@ from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
 from tidegrid.sources import events, normalized, raw_csv, replay
-from tidegrid.streaming import cumulative, job as stream_job, reports, runner
+from tidegrid.streaming import cumulative, job as stream_job, periods, ranking_state, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,9 +256,25 @@ def stream_q2_top3(days: int) -> Query:
     return query
 
 
-def stream_cumulative(report: str, days: int) -> Query:
+def ranked_windows(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """The cumulative ranking of each closed window, by a stream of one period."""
+    closed = periods.closed_windows(feed(spark, sf_dir), (days,))
+    both, _ = runner.run_to_table(ranking_state.closed_and_ranked(closed), f"stream-ranked-{days}")
+    return ranking_state.ranked_rows(both)
+
+
+def stream_changelog(days: int) -> Query:
+    return lambda spark, sf_dir: _naive(
+        ranked_windows(spark, sf_dir, days).where("changed").select("window_start", "rank_a", "rank_p"), "window_start")
+
+
+def stream_cumulative_rendered(days: int) -> Query:
+    return lambda spark, sf_dir: q2.render(ranked_windows(spark, sf_dir, days))
+
+
+def stream_emissions(days: int) -> Query:
     def query(spark, sf_dir):
-        rows = cumulative.run_cumulative(feed(spark, sf_dir), days, report)
+        rows = cumulative.run_cumulative(feed(spark, sf_dir), days, "emissions")
         return _naive(rows, "window_start")
     return query
 
@@ -268,8 +284,7 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> str:
     rows = feed(spark, sf_dir)
 
     def write(out: str) -> str:
-        for name, days in stream_job.PERIODS.items():
-            stream_job.start_period(rows, days, f"{out}/{name}", finite=True).awaitTermination()
+        stream_job.start(rows, out, finite=True).awaitTermination()
         return out
     return _once(spark, sf_dir, "fan-out", write)
 
@@ -425,14 +440,18 @@ QUERIES: dict[str, Query] = {
     "stream_q1_month": stream_q1(MONTH_DAYS),
     "stream_q2_week_top3": stream_q2_top3(WEEK_DAYS),
     "stream_q2_month_top3": stream_q2_top3(MONTH_DAYS),
-    "stream_q2_changelog": stream_cumulative("changelog", WEEK_DAYS),
-    "stream_q2_changelog_month": stream_cumulative("changelog", MONTH_DAYS),
-    "stream_q2_emissions": stream_cumulative("emissions", WEEK_DAYS),
-    "stream_q2_emissions_month": stream_cumulative("emissions", MONTH_DAYS),
+    "stream_q2_changelog": stream_changelog(WEEK_DAYS),
+    "stream_q2_changelog_month": stream_changelog(MONTH_DAYS),
+    "stream_q2_cumulative_rendered_week": stream_cumulative_rendered(WEEK_DAYS),
+    "stream_q2_cumulative_rendered_month": stream_cumulative_rendered(MONTH_DAYS),
+    "stream_q2_emissions": stream_emissions(WEEK_DAYS),
+    "stream_q2_emissions_month": stream_emissions(MONTH_DAYS),
     "stream_fanout_q1_week": stream_fanout("week", "q1", Q1_RENDERED_SCHEMA),
     "stream_fanout_q1_month": stream_fanout("month", "q1", Q1_RENDERED_SCHEMA),
     "stream_fanout_q2_week": stream_fanout("week", "q2", Q2_RENDERED_SCHEMA),
     "stream_fanout_q2_month": stream_fanout("month", "q2", Q2_RENDERED_SCHEMA),
+    "stream_fanout_q2_cumulative_week": stream_fanout("week", "q2_cumulative", Q2_RENDERED_SCHEMA),
+    "stream_fanout_q2_cumulative_month": stream_fanout("month", "q2_cumulative", Q2_RENDERED_SCHEMA),
     "stream_late_drop": stream_late_drop,
     "stream_watermark_all_rows": stream_watermark_all_rows,
     "stream_late_drop_mixed": stream_late_drop_mixed,

@@ -121,14 +121,24 @@ def window_counts(positions: DataFrame, days: int) -> DataFrame:
     return _per_window(rows, "ts", days, [_cell()], [F.count(F.lit(1)).alias("n")])
 
 
+def _all_measures(positions: DataFrame, slot_tz: str) -> list[Column]:
+    arrival = _arrival(positions)
+    return [*_class_counts(), *_slot_counts(slot_tz),
+            F.max_by("shiptype", arrival).alias("last_shiptype"),
+            F.max(arrival).alias("last_arrival")]
+
+
 def rollup(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
     """All measures of both reports per (window, cell, sea), from one pass."""
-    arrival = _arrival(positions)
     rows = positions.transform(within_area)
-    return _per_window(rows, "ts", days, [_cell(), _west()], [
-        *_class_counts(), *_slot_counts(slot_tz),
-        F.max_by("shiptype", arrival).alias("last_shiptype"),
-        F.max(arrival).alias("last_arrival")])
+    return _per_window(rows, "ts", days, [_cell(), _west()], _all_measures(positions, slot_tz))
+
+
+def rollup_by(positions: DataFrame, keys: list[str], slot_tz: str = "UTC") -> DataFrame:
+    """The same per (keys, cell, sea), for rows that know their windows."""
+    configure(positions.sparkSession)
+    rows = positions.transform(within_area)
+    return rows.groupBy(*keys, _cell(), _west()).agg(*_all_measures(positions, slot_tz))
 
 
 def daily_rollup(positions: DataFrame, slot_tz: str = "UTC") -> DataFrame:

@@ -259,6 +259,10 @@ SELECT window_start, sector, last_shiptype FROM q""",
     "stream_fanout_q1_month": q1_rendered(MONTH_DAYS),
     "stream_fanout_q2_week": q2_rendered(WEEK_DAYS),
     "stream_fanout_q2_month": q2_rendered(MONTH_DAYS),
+    "stream_fanout_q2_cumulative_week": cumulative_rendered(WEEK_DAYS),
+    "stream_fanout_q2_cumulative_month": cumulative_rendered(MONTH_DAYS),
+    "stream_q2_cumulative_rendered_week": cumulative_rendered(WEEK_DAYS),
+    "stream_q2_cumulative_rendered_month": cumulative_rendered(MONTH_DAYS),
     "stream_late_drop": window_counts(
         WEEK_DAYS, "CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM p)"),
     "stream_csv_sink": q1_rendered(WEEK_DAYS),

@@ -27,7 +27,6 @@ def reports(positions: DataFrame, slot_tz: str = "UTC") -> dict[str, DataFrame]:
         per_sector = materialize(slot_totals_from_rollup(rollup, days, by_sea=False),
                                  f"slot-totals-{name}")
         out[f"q2_{name}_cumulative"] = q2.q2_cumulative_rendered(per_sector, days)
-        out[f"q2_{name}_emissions"] = q2.render(q2.q2_emissions(per_sector, days))
     return out
 
 

@@ -1,8 +1,8 @@
-"""Cumulative rankings over a stream.
+"""The cumulative ranking of a stream as it changes sector by sector.
 
-The score of a sector depends on all its earlier windows. Closed windows are few and small,
-so each micro-batch adds them to a history table in the shared folder and the rankings are
-worked out from that table with the batch plans.
+Each micro-batch adds its closed windows to a history table in the shared folder, and the emissions
+are worked out from that table with the batch plan. (Rankings per window need no history: see
+``ranking_state``.)
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ TOTALS_SCHEMA = "window_start timestamp, cell int, am bigint, pm bigint, last_we
 
 # What is kept of the cumulative rankings: folder, plan and layout.
 REPORTS = {
-    "changelog": (q2.q2_changelog, "window_start timestamp, rank_a string, rank_p string"),
     "emissions": (q2.q2_emissions, "window_start timestamp, sector string, sea string, "
                                    "rank_a string, rank_p string"),
 }

@@ -1,9 +1,9 @@
-"""All reports over one feed, with one pass over the feed per period.
+"""All reports over one feed, in one stream with one pass over the feed.
 
-Both reports of a period close the same windows, so one stream keeps the measures of both,
-and each micro-batch writes the reports of the windows it closed. (The daily rollup would
-save the second pass, but a stream of it would drop rows whose day has closed while their
-week is still open.)
+Records go to their windows of both periods in one aggregation (``periods``), and the windows that
+close pass through the state of the cumulative rankings (``ranking_state``). Each micro-batch
+writes the reports of what it closed. (The daily rollup of the batch job would not do here: a
+stream of it would drop rows whose day has closed while their week is still open.)
 """
 
 from __future__ import annotations
@@ -13,39 +13,40 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid import sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
-from tidegrid.operators.aggregates import rollup
 from tidegrid.operators.ranking import top_sectors
 from tidegrid.plans import q1, q2
 from tidegrid.sources import replay
-from tidegrid.streaming import cumulative, runner
-from tidegrid.streaming.reports import with_watermark
+from tidegrid.streaming import periods, ranking_state, runner
 
 PERIODS = {"week": WEEK_DAYS, "month": MONTH_DAYS}
 
 
-def start_period(positions: DataFrame, days: int, out: str, slot_tz: str = "UTC",
-                 finite: bool = False) -> StreamingQuery:
-    """Write the literal rows of Q1 and Q2 to ``out/q1`` and ``out/q2``, and the cumulative
-    rankings to ``out/changelog`` and ``out/emissions``."""
-    def write_reports(closed: DataFrame, batch_id: int) -> None:
-        rows = {"q1": q1.rendered(q1.report(closed.where("west"), days)),
-                "q2": q2.q2_rendered(top_sectors(closed))}
-        for name, report in rows.items():
-            (sinks.as_lines(report).write.mode("overwrite")
-             .text(f"{out}/{name}/batch={batch_id}"))
-        per_sector = closed.groupBy("window_start", "cell").agg(
-            F.sum("am").alias("am"), F.sum("pm").alias("pm"),
-            F.max_by("west", "last_arrival").alias("last_west"))
-        cumulative.record_windows(per_sector, batch_id, days, out)
+def report_rows(closed: DataFrame, ranked: DataFrame, days: int) -> dict[str, DataFrame]:
+    """The literal rows of one period, by report name."""
+    closed, ranked = (rows.where(F.col("days") == days) for rows in (closed, ranked))
+    return {"q1": q1.rendered(q1.report(closed.where("west"), days)),
+            "q2": q2.q2_rendered(top_sectors(closed)),
+            "q2_cumulative": q2.render(ranked),
+            "q2_changelog": ranked.where("changed").select("window_start", "rank_a", "rank_p")}
 
-    totals = rollup(with_watermark(positions), days, slot_tz).drop("window")
-    return runner.start_closed_windows(totals, write_reports, f"{out}/checkpoint", finite)
 
+def start(positions: DataFrame, out: str, slot_tz: str = "UTC", finite: bool = False) -> StreamingQuery:
+    """Write the literal rows of Q1, Q2 and the cumulative Q2, and the changelog, to a folder per
+    period and report. A batch that is run again overwrites its own folders."""
+    def write_reports(both: DataFrame, batch_id: int) -> None:
+        closed, ranked = ranking_state.closed_rows(both), ranking_state.ranked_rows(both)
+        for name, days in PERIODS.items():
+            for report, rows in report_rows(closed, ranked, days).items():
+                (sinks.as_lines(rows).write.mode("overwrite")
+                 .text(f"{out}/{name}/{report}/batch={batch_id}"))
 
-def start_all(spark: SparkSession, feed: str, out_dir: str, slot_tz: str = "UTC",
-              finite: bool = False) -> dict[str, StreamingQuery]:
+    totals = periods.closed_windows(positions, tuple(PERIODS.values()), slot_tz)
+    both = ranking_state.closed_and_ranked(totals)
+    return runner.start_closed_windows(both, write_reports, f"{out}/checkpoint", finite)
+
+
+def start_feed(spark: SparkSession, feed: str, out_dir: str, slot_tz: str = "UTC",
+               finite: bool = False) -> StreamingQuery:
     """Start the weekly and 31-day reports. ``finite`` stops at the end of the feed."""
     session = runner.streaming_session(spark)
-    positions = replay.read_feed(session, feed)
-    return {name: start_period(positions, days, f"{out_dir}/{name}", slot_tz, finite)
-            for name, days in PERIODS.items()}
+    return start(replay.read_feed(session, feed), out_dir, slot_tz, finite)
