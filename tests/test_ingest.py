@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, rows
-from tidegrid import sinks
+from tidegrid import session, sinks
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
-from tidegrid.sources import normalized, raw_csv
+from tidegrid.sources import normalized, publication, raw_csv
 
 HEADER = ("SHIP_ID,SHIPTYPE,SPEED,LON,LAT,COURSE,HEADING,TIMESTAMP,DEPARTURE_PORT_NAME,"
           "REPORTED_DRAUGHT,TRIP_ID")
@@ -135,6 +135,61 @@ def test_a_log_that_grew_or_was_replaced_is_not_taken_for_the_old_one(spark, tmp
         ingest(spark, str(path), out)
 
 
+def arrivals(good):
+    return [r.trip_id for r in good.orderBy("arrival").collect()]
+
+
+def test_a_log_in_parts_equals_the_log_at_once(spark, log, tmp_path):
+    """New files and a file that grew; a later run may bring earlier times and the same minutes."""
+    parts = [[line(trip=f"{k}{i}", ts=f"0{1 + (i * 7 + ord(k)) % 5}-03-15 10:1{i % 3}", shiptype="x" if i == 4 else "7")
+              for i in range(9)] for k in "abc"]
+    for k, lines in zip("abc", parts):
+        path = log(*lines, name=f"{k}.csv")
+        good, bad = normalized.take_in(spark, path, str(tmp_path / "parts"))
+        before = {r.trip_id: r.arrival for r in good.collect()}
+    once, all_bad = normalized.ingest(spark, path, str(tmp_path / "once"))
+    assert arrivals(good) == arrivals(once)
+    fields = [f for f in normalized.TEXT_FIELDS]
+    assert rows(good, *fields) == rows(once, *fields) and rows(bad, "raw_record") == rows(all_bad, "raw_record")
+    numbers = normalized.replay_numbers(good, normalized.MINUTE_BITS)
+    assert sorted(r.replay_seq for r in numbers.collect()) == list(range(24))
+    log(*parts[2], line(trip="late", ts="01-03-15 10:10"), name="c.csv")
+    good, _ = normalized.take_in(spark, path, str(tmp_path / "parts"))
+    after = {r.trip_id: r.arrival for r in good.collect()}
+    assert after.items() > before.items() and after.keys() - before.keys() == {"late"}
+    again, _ = normalized.take_in(spark, path, str(tmp_path / "parts"))
+    assert rows(again, "arrival") == rows(good, "arrival")
+
+
+def test_a_replaced_file_raises(spark, log, tmp_path):
+    path, out = log(line(), line()), str(tmp_path / "out")
+    normalized.take_in(spark, path, out)
+    log(line())
+    with pytest.raises(ValueError):
+        normalized.take_in(spark, path, out)
+
+
+def test_a_run_that_broke_off_is_finished(spark, log, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    path = log(*[line(trip=f"t{d}", ts=f"0{d}-03-15 10:00") for d in range(1, 6)])
+    moved = []
+
+    def breaks(*args):
+        if len(moved) == 2:
+            raise OSError("gone")
+        moved.append(args)
+        session_move(*args)
+    session_move = publication.move
+    monkeypatch.setattr(publication, "move", breaks)
+    with pytest.raises(OSError):
+        normalized.take_in(spark, path, out)
+    monkeypatch.setattr(publication, "move", session_move)
+    good, _ = normalized.take_in(spark, path, out)
+    assert arrivals(good) == ["t1", "t2", "t3", "t4", "t5"]
+    times = [t for _, t in session.data_files(spark, f"{out}/positions")]
+    assert times == sorted(times) and len(set(times)) == 5
+
+
 def test_ingest_happens_once_for_the_same_input(spark, log, tmp_path):
     out = str(tmp_path / "out")
     path = log(line())

@@ -115,6 +115,29 @@ def event_time_order(spark, sf_dir):
     return _naive(normalized.replay_numbers(good).select("trip_id", "ts", "replay_seq"), "ts")
 
 
+PARTS = 3
+
+
+def taken_in(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a log that came in three parts, each taken in as it came."""
+    def write(out: str) -> str:
+        rows = events.read_events(configure(spark), sf_dir)
+        last = rows.agg(F.max("event_id")).scalar()
+        for part in range(PARTS):
+            of_part = F.floor(F.col("event_id") * PARTS / (last + 1)) == part
+            events.write_raw_log(rows.where(of_part), f"{out}/log/{part}")
+            normalized.take_in(spark, f"{out}/log/*", f"{out}/ingest")
+        return f"{out}/ingest"
+    return _once(spark, sf_dir, "taken-in", write)
+
+
+def ingest_incremental(spark, sf_dir):
+    """The place of every record of that log in the order of the whole."""
+    good = spark.read.schema(normalized.POSITIONS_SCHEMA).parquet(f"{taken_in(spark, sf_dir)}/positions")
+    numbered = normalized.replay_numbers(good, normalized.MINUTE_BITS)
+    return _naive(numbered.select("trip_id", "ts", "replay_seq"), "ts")
+
+
 def text_log_roundtrip(spark, sf_dir):
     """The ingested table printed as a normalised text log, and imported again."""
     good, _ = ingested(spark, sf_dir)
@@ -401,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "ingest_rejects": ingest_rejects,
     "event_time_topn": event_time_topn,
     "event_time_order": event_time_order,
+    "ingest_incremental": ingest_incremental,
     "text_log_roundtrip": text_log_roundtrip,
     "bbox_filter": bbox_filter,
     "sea_west_filter": sea_west_filter,

@@ -189,6 +189,11 @@ SELECT ship_id, shiptype, value AS speed, lon, lat, CAST(event_id % 360 AS INT)
   CAST(event_id AS VARCHAR) AS trip_id
 FROM p WHERE event_id % 97 <> 0"""
 
+EVENT_ORDER = """SELECT CAST(event_id AS VARCHAR) AS trip_id,
+  date_trunc('minute', ts) AS ts,
+  row_number() OVER (ORDER BY date_trunc('minute', ts), event_id) - 1 AS replay_seq
+FROM events WHERE event_id % 97 <> 0"""
+
 ORACLES: dict[str, str] = {
     "ingest_csv": INGESTED,
     "ingest_timestamps": """SELECT CAST(event_id AS VARCHAR) AS trip_id,
@@ -201,10 +206,8 @@ ORACLES: dict[str, str] = {
   'shiptype' AS reject_reason FROM events WHERE event_id % 97 = 0""",
     "event_time_topn": f"""{BASE} SELECT event_id, ts, ship_id FROM p
 ORDER BY ts, event_id LIMIT 100""",
-    "event_time_order": """SELECT CAST(event_id AS VARCHAR) AS trip_id,
-  date_trunc('minute', ts) AS ts,
-  row_number() OVER (ORDER BY date_trunc('minute', ts), event_id) - 1 AS replay_seq
-FROM events WHERE event_id % 97 <> 0""",
+    "event_time_order": EVENT_ORDER,
+    "ingest_incremental": EVENT_ORDER,
     "text_log_roundtrip": INGESTED,
     "bbox_filter": f"{BASE} SELECT event_id, lat, lon FROM p WHERE {AREA}",
     "sea_west_filter": f"{BASE} SELECT event_id, lat, lon FROM p WHERE lat > 37.2 AND lon < 11.2",

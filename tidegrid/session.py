@@ -79,3 +79,40 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     fs, pattern = _file_system(spark, path)
     return sum(fs.getContentSummary(found.getPath()).getLength()
                for found in fs.globStatus(pattern) or ())
+
+
+def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """(path, time of modification) of the data files below a folder, by path; names that begin with an
+    underscore or a dot are no data, as Spark's readers have it."""
+    fs, top = _file_system(spark, folder)
+    found = []
+    if fs.exists(top):
+        listing = fs.listFiles(top, True)
+        start = len(fs.makeQualified(top).toString())
+        while listing.hasNext():
+            status = listing.next()
+            path = status.getPath().toString()
+            if not any(name.startswith(("_", ".")) for name in path[start:].split("/")):
+                found.append((path, status.getModificationTime()))
+    return sorted(found)
+
+
+def stamp(spark: SparkSession, path: str, millis: int) -> bool:
+    """Set a file's time of modification; tells whether the store has kept it."""
+    fs, file = _file_system(spark, path)
+    fs.setTimes(file, millis, -1)
+    return fs.getFileStatus(file).getModificationTime() == millis
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, file = _file_system(spark, source)
+    _, to = _file_system(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(file, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of ours and all that is in it."""
+    fs, path = _file_system(spark, folder)
+    fs.delete(path, True)

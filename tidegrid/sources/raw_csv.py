@@ -25,7 +25,7 @@ def with_place(lines: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("log_line"))
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
+def scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The raw fields as text, and each line's place in the log."""
     return with_place(spark.read.schema(RAW_SCHEMA)
                       .option("header", True).option("quote", "")
