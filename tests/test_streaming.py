@@ -187,6 +187,28 @@ def test_both_periods_together(spark, table, feed, tmp_path):
         assert changes.count() == q2.q2_changelog(q2.stored_slot_totals(table, days), days).count()
 
 
+def test_a_taken_in_table_is_a_feed_without_a_last_record(spark, tmp_path):
+    """A stream over the ingested table itself, which grows between two runs; what stays open comes from
+    the state, and no row is late."""
+    out, events_ = str(tmp_path / "out"), events.read_events(spark, SF).orderBy("ts", "event_id")
+    halves = (F.col("ts") < F.lit("2024-01-15"), F.col("ts") >= F.lit("2024-01-15"))
+    for part, half in enumerate(halves):
+        events.write_raw_log(events_.where(half), str(tmp_path / "log" / str(part)))
+        good, _ = normalized.take_in(spark, str(tmp_path / "log" / "*"), str(tmp_path / "in"))
+        session = runner.streaming_session(spark)
+        positions_ = replay.read_positions(session, str(tmp_path / "in" / "positions"), 12)
+        query = job.start(positions_, out, finite=True)
+        query.awaitTermination()
+        assert metrics.late_rows(query) == 0
+        job.write_open(spark, out)
+        batch = batch_job.reports(good)
+        for name in job.PERIODS:
+            for report, schema in (("q1", Q1_RENDERED_SCHEMA), ("q2", Q2_RENDERED_SCHEMA),
+                                   ("q2_cumulative", Q2_RENDERED_SCHEMA)):
+                lines = sinks.read_lines(spark, f"{out}/{name}/{report}", schema)
+                assert rows(lines) == rows(batch[f"{report}_{name}" if report != "q2_cumulative" else f"q2_{name}_cumulative"])
+
+
 def test_a_batch_run_again_leaves_the_same_files(spark, table, tmp_path):
     out = str(tmp_path / "out")
     totals = q2.stored_slot_totals(table, WEEK_DAYS)

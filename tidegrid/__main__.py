@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         stream_job.start_feed(spark, args.source, args.out, args.slot_tz,
                               finite=not args.continuous).awaitTermination()
+        stream_job.write_open(spark, args.out)
 
 
 if __name__ == "__main__":

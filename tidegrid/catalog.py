@@ -21,7 +21,7 @@ from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
 from tidegrid.sources import events, normalized, raw_csv, replay
-from tidegrid.streaming import cumulative, job as stream_job, periods, ranking_state, reports, runner
+from tidegrid.streaming import cumulative, job as stream_job, open_windows, periods, ranking_state, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,6 +272,23 @@ def stream_q1(days: int) -> Query:
     return query
 
 
+def open_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed without a record that closes its last windows."""
+    days = position_days(spark, sf_dir)
+    path = _once(spark, sf_dir, "open-feed", lambda out: replay.publish(days, out, sentinel=False))
+    return replay.read_feed(runner.streaming_session(spark), path, FILES_PER_TRIGGER)
+
+
+def stream_q1_open_end(days: int) -> Query:
+    """The windows that closed, and those that the state still holds at the end."""
+    def query(spark, sf_dir):
+        totals = aggregates.class_totals(reports.with_watermark(open_feed(spark, sf_dir)), days).drop("window")
+        closed, _, checkpoint = runner.run_to_checkpoint(totals, "stream-q1-open")
+        rows = closed.unionByName(open_windows.open_class_totals(spark, checkpoint))
+        return _naive(q1.report(rows, days), "window_start")
+    return query
+
+
 def stream_q2_top3(days: int) -> Query:
     def query(spark, sf_dir):
         stream = reports.stream_q2_top3(feed(spark, sf_dir), days)
@@ -462,6 +479,8 @@ QUERIES: dict[str, Query] = {
     "q2_emissions_month": over_stored_totals(q2.q2_emissions, MONTH_DAYS),
     "stream_q1_week": stream_q1(WEEK_DAYS),
     "stream_q1_month": stream_q1(MONTH_DAYS),
+    "stream_q1_week_open_end": stream_q1_open_end(WEEK_DAYS),
+    "stream_q1_month_open_end": stream_q1_open_end(MONTH_DAYS),
     "stream_q2_week_top3": stream_q2_top3(WEEK_DAYS),
     "stream_q2_month_top3": stream_q2_top3(MONTH_DAYS),
     "stream_q2_changelog": stream_changelog(WEEK_DAYS),

@@ -252,6 +252,8 @@ SELECT window_start, sector, last_shiptype FROM q""",
     "q2_emissions_month": emissions(MONTH_DAYS),
     "stream_q1_week": q1(WEEK_DAYS),
     "stream_q1_month": q1(MONTH_DAYS),
+    "stream_q1_week_open_end": q1(WEEK_DAYS),
+    "stream_q1_month_open_end": q1(MONTH_DAYS),
     "stream_q2_week_top3": top3(WEEK_DAYS),
     "stream_q2_month_top3": top3(MONTH_DAYS),
     "stream_q2_changelog": changelog(WEEK_DAYS),

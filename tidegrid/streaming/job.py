@@ -15,10 +15,12 @@ from tidegrid import sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
 from tidegrid.operators.ranking import top_sectors
 from tidegrid.plans import q1, q2
+from tidegrid.session import materialize
 from tidegrid.sources import replay
-from tidegrid.streaming import periods, ranking_state, runner
+from tidegrid.streaming import open_windows, periods, ranking_state, runner
 
 PERIODS = {"week": WEEK_DAYS, "month": MONTH_DAYS}
+OPEN = "-1"  # in the place of a batch number, for what is provisional
 
 
 def report_rows(closed: DataFrame, ranked: DataFrame, days: int) -> dict[str, DataFrame]:
@@ -30,15 +32,17 @@ def report_rows(closed: DataFrame, ranked: DataFrame, days: int) -> dict[str, Da
             "q2_changelog": ranked.where("changed").select("window_start", "rank_a", "rank_p")}
 
 
+def _write(closed: DataFrame, ranked: DataFrame, out: str, batch: str) -> None:
+    for name, days in PERIODS.items():
+        for report, rows in report_rows(closed, ranked, days).items():
+            sinks.as_lines(rows).write.mode("overwrite").text(f"{out}/{name}/{report}/batch={batch}")
+
+
 def start(positions: DataFrame, out: str, slot_tz: str = "UTC", finite: bool = False) -> StreamingQuery:
     """Write the literal rows of Q1, Q2 and the cumulative Q2, and the changelog, to a folder per
     period and report. A batch that is run again overwrites its own folders."""
     def write_reports(both: DataFrame, batch_id: int) -> None:
-        closed, ranked = ranking_state.closed_rows(both), ranking_state.ranked_rows(both)
-        for name, days in PERIODS.items():
-            for report, rows in report_rows(closed, ranked, days).items():
-                (sinks.as_lines(rows).write.mode("overwrite")
-                 .text(f"{out}/{name}/{report}/batch={batch_id}"))
+        _write(ranking_state.closed_rows(both), ranking_state.ranked_rows(both), out, str(batch_id))
 
     totals = periods.closed_windows(positions, tuple(PERIODS.values()), slot_tz)
     both = ranking_state.closed_and_ranked(totals)
@@ -50,3 +54,15 @@ def start_feed(spark: SparkSession, feed: str, out_dir: str, slot_tz: str = "UTC
     """Start the weekly and 31-day reports. ``finite`` stops at the end of the feed."""
     session = runner.streaming_session(spark)
     return start(replay.read_feed(session, feed), out_dir, slot_tz, finite)
+
+
+def write_open(spark: SparkSession, out: str) -> None:
+    """Write the reports of the windows that are still open, from the state of the stream, beside
+    the others. Another call replaces them; a window that has closed since is no longer among them."""
+    session = ranking_state.with_state_store(runner.streaming_session(spark))
+    checkpoint = f"{out}/checkpoint"
+    still_open = open_windows.open_rollup(session, checkpoint).where(
+        F.year("window_start") < replay.SENTINEL_YEAR - 1)
+    still_open = materialize(still_open, "open-windows")
+    ranked = ranking_state.ranked_rows(open_windows.open_ranked(session, checkpoint, still_open))
+    _write(still_open, materialize(ranked, "open-ranked"), out, OPEN)

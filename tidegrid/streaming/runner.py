@@ -55,8 +55,14 @@ def start_closed_windows(totals: DataFrame, write: Callable[[DataFrame, int], No
 
 def run_to_table(stream: DataFrame, name: str) -> tuple[DataFrame, StreamingQuery]:
     """Process all that is available, then give the sink's content as a batch frame."""
+    rows, query, _ = run_to_checkpoint(stream, name)
+    return rows, query
+
+
+def run_to_checkpoint(stream: DataFrame, name: str) -> tuple[DataFrame, StreamingQuery, str]:
+    """The same, and the checkpoint, from which the windows that are still open can be read."""
     spark = stream.sparkSession
     out = new_workspace(spark, name)
     query = start_file_sink(stream, out)
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out), query
+    return spark.read.schema(stream.schema).parquet(out), query, f"{out}.checkpoint"
