@@ -8,7 +8,7 @@ from tidegrid.operators import aggregates
 from tidegrid.plans import job as batch_job, q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.sources import events, normalized, replay
-from tidegrid.streaming import cumulative, job, periods, ranking_state, reports, runner
+from tidegrid.streaming import cumulative, job, late, periods, ranking_state, reports, runner
 
 WEST = (40.0, 5.0)
 SF = "/root/testdata/sf0.001"
@@ -173,6 +173,37 @@ def test_counts_are_observed(spark, table, feed):
     assert metrics.streamed_records(query, "feed_records") == table.count() + 1
 
 
+def test_counts_outlive_what_a_query_remembers(spark, table, feed, tmp_path):
+    session = runner.streaming_session(spark)
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    listener = metrics.BatchCounts(spark, str(tmp_path / "counts"))
+    session.streams.addListener(listener)
+    try:
+        counted = metrics.count_records(replay.read_feed(session, feed, 5), "feed_records").select("arrival")
+        query = runner.start_file_sink(counted, str(tmp_path / "out"))
+        assert listener.wait_for(query)
+    finally:
+        session.streams.removeListener(listener)
+    assert len(query.recentProgress) <= 2
+    found = metrics.batch_counts(spark, str(tmp_path / "counts"))
+    assert rows(found.groupBy("name").agg(F.sum("n"))) == [("feed_records", table.count() + 1), ("late", 0)]
+    assert found.select("batch").distinct().count() > 5
+    assert metrics.batch_counts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_late_records_are_told_one_by_one(spark, positions, tmp_path):
+    """Those of closed windows, by the watermark of the batches before; a batch run again leaves the same."""
+    out = str(tmp_path / "out")
+    first = positions(("2015-03-05 10:00", *WEST), ("2015-03-12 00:01", *WEST))
+    second = positions(("2015-03-11 23:59", *WEST), ("2015-03-12 00:00", *WEST), ("2015-03-19 00:00", *WEST))
+    third = positions(("2015-03-18 10:00", *WEST), ("2015-03-04 10:00", 0.0, 0.0))
+    for batch_id, batch in enumerate((first, second, third, third)):
+        late.record_late(batch, min(batch_id, 2), WEEK_DAYS, out)
+    found = late.read_late(spark, out, first)
+    text = F.date_format("ts", "MM-dd HH:mm"), F.date_format("watermark", "MM-dd HH:mm")
+    assert rows(found.select(*text)) == [("03-04 10:00", "03-18 23:59"), ("03-11 23:59", "03-12 00:00")]
+
+
 def test_both_periods_together(spark, table, feed, tmp_path):
     out = str(tmp_path / "out")
     job.start_feed(spark, feed, out, finite=True).awaitTermination()

@@ -21,7 +21,7 @@ from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
 from tidegrid.session import configure, materialize, new_workspace
 from tidegrid.sources import events, normalized, raw_csv, replay
-from tidegrid.streaming import cumulative, job as stream_job, open_windows, periods, ranking_state, reports, runner
+from tidegrid.streaming import cumulative, job as stream_job, late, open_windows, periods, ranking_state, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -361,6 +361,34 @@ def stream_late_drop(spark, sf_dir):
     return _naive(counts, "window_start")
 
 
+def stream_late_rows(spark, sf_dir):
+    """The late records of a feed in which the first day comes after all others."""
+    days = position_days(spark, sf_dir)
+    first_day = days.agg(F.min("event_date")).scalar()
+    out = new_workspace(spark, "late-rows")
+    session = runner.streaming_session(spark)
+    for part in (F.col("event_date") > first_day, F.col("event_date") == first_day):
+        replay.append_days(days.where(part), f"{out}/feed")
+        rows = replay.read_feed(session, f"{out}/feed", FILES_PER_TRIGGER)
+        late.start_late_rows(rows, WEEK_DAYS, out).awaitTermination()
+    found = late.read_late(spark, out, rows)
+    return _naive(found.select("ship_id", "ts", "shiptype", "lat", "lon", "watermark"), "ts", "watermark")
+
+
+def stream_counts(spark, sf_dir):
+    """Records and late rows of the stream job, from the table that its batches' counts went to."""
+    out = new_workspace(spark, "counts")
+    rows = feed(spark, sf_dir)
+    listener = metrics.BatchCounts(spark, f"{out}/counts")
+    rows.sparkSession.streams.addListener(listener)
+    try:
+        stream = reports.stream_window_counts(metrics.count_records(rows, "feed_records"), WEEK_DAYS)
+        listener.wait_for(runner.start_file_sink(stream, f"{out}/rows"))
+    finally:
+        rows.sparkSession.streams.removeListener(listener)
+    return metrics.batch_counts(spark, f"{out}/counts").groupBy("name").agg(F.sum("n").alias("n"))
+
+
 # -- sinks and metrics ---------------------------------------------------------------------
 
 def _roundtrip(spark: SparkSession, rows: DataFrame, schema: StructType) -> DataFrame:
@@ -498,6 +526,8 @@ QUERIES: dict[str, Query] = {
     "stream_late_drop": stream_late_drop,
     "stream_watermark_all_rows": stream_watermark_all_rows,
     "stream_late_drop_mixed": stream_late_drop_mixed,
+    "stream_late_rows": stream_late_rows,
+    "stream_counts": stream_counts,
     "stream_csv_sink": stream_csv_sink,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_csv_roundtrip_q2": sink_csv_roundtrip_q2,

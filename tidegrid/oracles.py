@@ -162,6 +162,14 @@ WHERE {bucket(WEEK_DAYS)} + INTERVAL {WEEK_DAYS} DAY
 GROUP BY ALL"""
 
 
+LATE_ROWS = f"""{BASE}, w AS (
+  SELECT max(ts) - INTERVAL 60 SECOND AS watermark FROM p
+  WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM p))
+SELECT ship_id, ts, shiptype, lat, lon, watermark FROM p, w
+WHERE CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM p)
+  AND {bucket(WEEK_DAYS)} + INTERVAL {WEEK_DAYS} DAY <= watermark"""
+
+
 def emissions(days: int) -> str:
     return f"""{BASE}, c AS (
   SELECT {bucket(days)} AS w, sector, {SLOT_COUNTS}, arg_max(sea, (ts, event_id)) AS sea
@@ -270,6 +278,9 @@ SELECT window_start, sector, last_shiptype FROM q""",
     "stream_q2_cumulative_rendered_month": cumulative_rendered(MONTH_DAYS),
     "stream_late_drop": window_counts(
         WEEK_DAYS, "CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM p)"),
+    "stream_late_rows": LATE_ROWS,
+    "stream_counts": """SELECT 'feed_records' AS name, count(*) + 1 AS n FROM events
+UNION ALL SELECT 'late', 0""",
     "stream_csv_sink": q1_rendered(WEEK_DAYS),
     "sink_csv_roundtrip": q1_rendered(WEEK_DAYS),
     "sink_csv_roundtrip_q2": q2_rendered(WEEK_DAYS),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegrid import sinks
+from tidegrid import metrics, sinks
 from tidegrid.constants import MONTH_DAYS, WEEK_DAYS
 from tidegrid.operators.ranking import top_sectors
 from tidegrid.plans import q1, q2
@@ -44,6 +44,7 @@ def start(positions: DataFrame, out: str, slot_tz: str = "UTC", finite: bool = F
     def write_reports(both: DataFrame, batch_id: int) -> None:
         _write(ranking_state.closed_rows(both), ranking_state.ranked_rows(both), out, str(batch_id))
 
+    positions = metrics.count_records(positions, "feed_records")
     totals = periods.closed_windows(positions, tuple(PERIODS.values()), slot_tz)
     both = ranking_state.closed_and_ranked(totals)
     return runner.start_closed_windows(both, write_reports, f"{out}/checkpoint", finite)
