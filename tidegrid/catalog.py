@@ -19,8 +19,8 @@ from tidegrid.operators import aggregates, filters
 from tidegrid.operators.grid import with_sector
 from tidegrid.plans import q1, q2
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
-from tidegrid.session import configure, materialize, new_workspace
-from tidegrid.sources import events, normalized, raw_csv, replay
+from tidegrid.session import configure, materialize, new_workspace, stored_bytes
+from tidegrid.sources import clustered, events, normalized, raw_csv, replay, ships
 from tidegrid.streaming import cumulative, job as stream_job, late, open_windows, periods, ranking_state, reports, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,22 @@ def position_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "positions", write)
 
 
+def numbered_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same table with ship numbers, and the dictionary of the ships."""
+    def write(path: str) -> tuple[DataFrame, DataFrame]:
+        rows = position_days(spark, sf_dir)
+        known = ships.add_ships(rows, f"{path}/ships", 0)
+        return normalized.write_positions(ships.with_numbers(rows, known), f"{path}/positions"), known
+    return _once(spark, sf_dir, "numbered", write)
+
+
+def clustered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table by place."""
+    rows = position_days(spark, sf_dir)
+    size = stored_bytes(spark, f"{sf_dir}/events.parquet")
+    return _once(spark, sf_dir, "clustered", lambda path: clustered.write_clustered(rows, path, size))
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = position_days(spark, sf_dir)
     path = _once(spark, sf_dir, "feed", lambda out: replay.publish(days, out))
@@ -154,6 +170,19 @@ def bbox_filter(spark, sf_dir):
             .select("event_id", "lat", "lon"))
 
 
+SECTOR = "E2"
+
+
+def clustered_bbox_filter(spark, sf_dir):
+    return (clustered_days(spark, sf_dir).transform(filters.within_area)
+            .select("event_id", "lat", "lon"))
+
+
+def clustered_sector_filter(spark, sf_dir):
+    """The positions in one sector, by comparisons that pass over row groups elsewhere."""
+    return filters.in_sector(clustered_days(spark, sf_dir), SECTOR).select("event_id", "lat", "lon")
+
+
 def sea_west_filter(spark, sf_dir):
     return positions(spark, sf_dir).transform(filters.western).select("event_id", "lat", "lon")
 
@@ -218,8 +247,9 @@ def daily_rollup(spark, sf_dir):
 
 def slot_counts(days: int) -> Query:
     def query(spark, sf_dir):
-        totals = aggregates.slot_totals_with_last(positions(spark, sf_dir), days)
-        return totals.select(
+        rows, known = numbered_days(spark, sf_dir)
+        totals = aggregates.with_ship_ids(aggregates.slot_totals_with_last_number(rows, days), known)
+        return _naive(totals, "window_start", "last_ts").select(
             "window_start", _sector(), F.col("am").alias("am_num"), F.col("pm").alias("pm_num"),
             "last_ship_id", "last_lat", "last_lon", "last_ts")
     return query
@@ -472,6 +502,8 @@ QUERIES: dict[str, Query] = {
     "ingest_incremental": ingest_incremental,
     "text_log_roundtrip": text_log_roundtrip,
     "bbox_filter": bbox_filter,
+    "clustered_bbox_filter": clustered_bbox_filter,
+    "clustered_sector_filter": clustered_sector_filter,
     "sea_west_filter": sea_west_filter,
     "sea_east_filter": sea_east_filter,
     "sea_label": sea_label_query,

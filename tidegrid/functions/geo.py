@@ -80,3 +80,34 @@ def cell_name(code: Column) -> Column:
     number = (code % F.lit(GRID_COLUMNS) + F.lit(1)).cast("string")
     return (F.when(code == F.lit(OFF_GRID_CODE), F.lit(OFF_GRID))
              .otherwise(F.concat(letter, number)))
+
+
+def cell_bounds(code: int) -> tuple[float | None, float | None, float | None, float | None]:
+    """(lat above, lat up to, lon above, lon up to) of a cell on the grid; None where it has no bound."""
+    band, column = divmod(code, GRID_COLUMNS)
+
+    def edge(tenths: tuple[int, int, int], index: int) -> float | None:
+        first, step, _ = tenths
+        return (first + step * index) / 10 if index >= 0 else None
+
+    top = LAT_EDGES_TENTHS[2] if band == len(GRID_LETTERS) - 1 else band  # the last letter has two bands
+    return (edge(LAT_EDGES_TENTHS, band - 1), edge(LAT_EDGES_TENTHS, top),
+            edge(LON_EDGES_TENTHS, column - 1), edge(LON_EDGES_TENTHS, column))
+
+
+def in_cell(lat: Column, lon: Column, code: int) -> Column:
+    """Whether a place lies in a cell, as comparisons that reach a scan and its statistics."""
+    if code == OFF_GRID_CODE:
+        return (lat > _last_edge(LAT_EDGES_TENTHS)) | (lon > _last_edge(LON_EDGES_TENTHS))
+    south, north, west, east = cell_bounds(code)
+    found = (lat <= F.lit(north)) & (lon <= F.lit(east))
+    if south is not None:
+        found = found & (lat > F.lit(south))
+    return found & (lon > F.lit(west)) if west is not None else found
+
+
+def cell_of_name(sector: str) -> int:
+    """The code of a sector id such as ``D7``."""
+    if sector == OFF_GRID:
+        return OFF_GRID_CODE
+    return GRID_LETTERS.index(sector[0]) * GRID_COLUMNS + int(sector[1:]) - 1

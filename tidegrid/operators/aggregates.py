@@ -96,7 +96,8 @@ def slot_totals_with_sea(positions: DataFrame, days: int, slot_tz: str = "UTC")
 def slot_totals_with_last(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
     """As ``slot_totals`` per sector, with ship, place and time of the last record.
 
-    The ship id is a string, which no hash aggregation can carry, so the first scan finds
+    With ship numbers (``sources.ships``) one scan does: see ``slot_totals_with_last_number``.
+    Without, the ship id is a string, which no hash aggregation can carry, so the first scan finds
     only which record is last and a second one fetches it: from the area only, and, in a
     table that is partitioned by day, from the winners' days only. The join is a broadcast as
     long as the stored winners, one per (window, cell), are small enough for Spark's threshold.
@@ -116,6 +117,22 @@ def slot_totals_with_last(positions: DataFrame, days: int, slot_tz: str = "UTC")
     return records.join(winners, [*day, record]).drop(*day, record)
 
 
+def slot_totals_with_last_number(positions: DataFrame, days: int, slot_tz: str = "UTC") -> DataFrame:
+    """The same from one scan, with the ship as ``last_ship_no``: all that is kept of the last record
+    has a fixed width, so it travels through the hash aggregation."""
+    rows = positions.transform(within_area)
+    last = {"last_ship_no": "ship_no", "last_lat": "lat", "last_lon": "lon", "last_ts": "ts"}
+    return _per_window(rows, "ts", days, [_cell()], [
+        *_slot_counts(slot_tz),
+        *[F.max_by(c, _arrival(positions)).alias(name) for name, c in last.items()]])
+
+
+def with_ship_ids(totals: DataFrame, ships: DataFrame) -> DataFrame:
+    """``last_ship_id`` in the place of ``last_ship_no``: a join of a row for each (window, cell)."""
+    names = ships.select(F.col("ship_no").alias("last_ship_no"), F.col("ship_id").alias("last_ship_id"))
+    return totals.join(names, "last_ship_no", "left").drop("last_ship_no")
+
+
 def window_counts(positions: DataFrame, days: int) -> DataFrame:
     rows = positions.transform(within_area)
     return _per_window(rows, "ts", days, [_cell()], [F.count(F.lit(1)).alias("n")])

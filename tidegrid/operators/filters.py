@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegrid.functions import in_area, is_east, is_west
+from tidegrid.functions.geo import cell_of_name, in_cell
 
 
 def _kept(positions: DataFrame, condition: Column) -> DataFrame:
@@ -27,3 +28,7 @@ def western(positions: DataFrame) -> DataFrame:
 
 def eastern(positions: DataFrame) -> DataFrame:
     return _kept(positions, is_east(F.col("lat"), F.col("lon")))
+
+
+def in_sector(positions: DataFrame, sector: str) -> DataFrame:
+    return _kept(positions, in_cell(F.col("lat"), F.col("lon"), cell_of_name(sector)))

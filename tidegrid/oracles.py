@@ -218,6 +218,8 @@ ORDER BY ts, event_id LIMIT 100""",
     "ingest_incremental": EVENT_ORDER,
     "text_log_roundtrip": INGESTED,
     "bbox_filter": f"{BASE} SELECT event_id, lat, lon FROM p WHERE {AREA}",
+    "clustered_bbox_filter": f"{BASE} SELECT event_id, lat, lon FROM p WHERE {AREA}",
+    "clustered_sector_filter": f"{BASE} SELECT event_id, lat, lon FROM s WHERE sector = 'E2'",
     "sea_west_filter": f"{BASE} SELECT event_id, lat, lon FROM p WHERE lat > 37.2 AND lon < 11.2",
     "sea_east_filter": f"{BASE} SELECT event_id, lat, lon FROM p WHERE lat < 37.2 AND lon > 11.2",
     "sea_label": f"{BASE} SELECT event_id, sea FROM s",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidegrid.constants import TEXT_LOG_PATTERN
 from tidegrid.session import configure, is_complete, materialize, remove, stored_bytes
-from tidegrid.sources import publication, raw_csv
+from tidegrid.sources import publication, raw_csv, ships
 
 # Documented layout of monotonically_increasing_id: partition number above 33 bits.
 PARTITION_BITS = 33
@@ -76,7 +76,7 @@ def ingest(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "U
     stored = spark.read.schema(STAGED_SCHEMA).parquet(staged)
     rejects = raw_csv.rejected(stored)
     if is_complete(spark, positions):
-        return spark.read.schema(POSITIONS_SCHEMA).parquet(positions), rejects
+        return spark.read.schema(TAKEN_IN_SCHEMA).parquet(positions), rejects
     good = raw_csv.accepted(stored)
     return _store_in_order(good, stored_bytes(spark, staged), positions), rejects
 
@@ -109,6 +109,7 @@ def _same_input(spark: SparkSession, path: str, out_dir: str, **options) -> None
         raise ValueError(f"{out_dir} was made from other files or options: {before}, now {now}")
 
 
+TAKEN_IN_SCHEMA = f"{POSITIONS_SCHEMA}, ship_no bigint"
 MANIFEST_SCHEMA = "path string, length bigint, modified bigint, lines bigint"
 # An arrival number of a table that grows: the minute, and the place among the records of that minute.
 MINUTE_BITS = 34
@@ -124,7 +125,7 @@ def take_in(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "
 
     ``arrival`` orders all records by (time, place in the log), runs following each other, and a
     record's number never changes: it is the minute with the place among that minute's records, to which
-    later runs only add. Each run is sorted by itself; its files join the table in event order, so a
+    later runs only add. ``ship_no`` is the ship's number in the dictionary below ``ships``. Each run is sorted by itself; its files join the table in event order, so a
     stream can read the table as it grows. A run counts once its manifest is written; what broke off
     before is done again, what broke off after is finished by the next call.
     """
@@ -142,6 +143,7 @@ def take_in(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "
         new = lines.join(taken, "log_file").where("log_line >= taken").drop("taken")
         new.write.mode("overwrite").option("compression", CODEC).parquet(f"{staged}/run={run}")
         good = raw_csv.accepted(_taken_in(spark, staged, run))
+        good = ships.with_numbers(good, ships.add_ships(good, f"{out_dir}/ships", run))
         size = stored_bytes(spark, f"{staged}/run={run}")
         publication.stage(_in_minutes(good, spark, staged, run, size), positions, run, compression=CODEC)
         counts = lines.groupBy(F.col("log_file").alias("path")).agg(F.count("*").alias("lines"))
@@ -154,7 +156,7 @@ def take_in(spark: SparkSession, csv_path: str, out_dir: str, source_tz: str = "
         remove(spark, f"{staged}/run={run}-all")
         run += 1
     rejects = raw_csv.rejected(_taken_in(spark, staged, *range(run)))
-    return spark.read.schema(POSITIONS_SCHEMA).parquet(positions), rejects
+    return spark.read.schema(TAKEN_IN_SCHEMA).parquet(positions), rejects
 
 
 def _taken_in(spark: SparkSession, staged: str, *runs: int) -> DataFrame:
