@@ -70,6 +70,20 @@ def test_tokens_equal_the_whole_tokenizer(prose):  # noqa: F811
     assert [np.frombuffer(x, "<u4").tolist() for x in tokens.ids(pa.array(texts))] == expected
 
 
+def test_equal_short_names_lose_no_row(spark, documents, prose, monkeypatch):  # noqa: F811
+    """All rows get the same first name: links, classes and the rows that stay are as ever."""
+    a, b, c = prose(80, 21), prose(80, 22), prose(80, 23)
+    rows = [(1, a), (2, a + " tail"), (3, b), (4, b + " end"), (5, c), (6, "short"), (7, ""), (8, a), (8, a)]
+    expected = sorted(map(str, collected(ngram_join.ngram_join(documents(*rows)).select(
+        "id", "class_id", "copies", "n_links"))))
+    names = ngram_join.row_names
+    monkeypatch.setattr(ngram_join, "row_names", lambda *args: (F.lit(7).cast("long"), names(*args)[1]))
+    joined = ngram_join.ngram_join(documents(*rows))
+    assert sorted(map(str, collected(joined.select("id", "class_id", "copies", "n_links")))) == expected
+    kept = collected(ngram_join.distinct_documents(documents(*rows)))
+    assert sorted(r["doc_id"] for r in kept) == [1, 3, 5, 6, 7]
+
+
 def test_ngram_join(spark, odd):
     found = ngram_join.ngram_join(odd).toPandas()
     assert len(found) == 11

@@ -20,7 +20,7 @@ def test_it_is_registered():
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     assert list(STAGES) == ["language", "near_duplicates", "repeats", "decontamination", "packing"]
     numbers = sorted(int(n[2:].split("_")[0]) for n in contract.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_keep_columns_and_clean_rows(spark):

@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegrid.llm import chunks
 from tidegrid.llm.components import components
@@ -38,7 +38,7 @@ BLOCK = 512
 TEXT_BYTES = 4 << 20
 SET_MASK = np.uint64((1 << 48) - 1)
 
-_SIGNED = "uid long, key1 long, key2 long, n_words long, bands array<long>"
+_SIGNED = "uid long, uid2 long, key1 long, key2 long, n_words long, bands array<long>"
 _MEETS = "band int, bucket long, i int, j int, block int, node long"
 _MEETING = pa.schema([("band", pa.int32()), ("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()),
                       ("block", pa.int32()), ("node", pa.int64())])
@@ -82,33 +82,40 @@ def _band_hashes(found: np.ndarray, first: np.ndarray, bands: int, rows: int) ->
     return out
 
 
+def _keys(hashes: np.ndarray, first: np.ndarray) -> list[pa.Array]:
+    """Two 64-bit names of the words of every row, which tell texts apart; 0 without words."""
+    filled = np.flatnonzero(np.diff(first))
+    found = []
+    for base in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
+        key = np.zeros(len(first) - 1, np.uint64)
+        key[filled] = _window_sums(hashes, first[filled], first[filled + 1], base)
+        found.append(pa.array(key.view(np.int64)))
+    return found
+
+
 def _signer(text: str, n: int, bands: int, rows: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunks.pieces(batches, text, TEXT_BYTES):
             hashes, first = word_hashes(table.column(text), NON_WORD, lower=True)
             counts = np.diff(first)
-            filled = np.flatnonzero(counts)
-            keys = [np.zeros(len(counts), np.uint64), np.zeros(len(counts), np.uint64)]
-            for key, base in zip(keys, (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
-                key[filled] = _window_sums(hashes, first[filled], first[filled + 1], base)
             signed = _band_hashes(*shingles(hashes, first, n), bands, rows).view(np.int64)
             lists = np.concatenate([[0], np.cumsum(np.where(counts > 0, bands, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                table.column("id").combine_chunks(), table.column("uid").combine_chunks(), pa.array(keys[0].view(np.int64)),
-                pa.array(keys[1].view(np.int64)), pa.array(counts.astype(np.int64)),
-                pa.ListArray.from_arrays(pa.array(lists), pa.array(signed.ravel())),
-            ], names=["id", "uid", "key1", "key2", "n_words", "bands"])
+                *(table.column(c).combine_chunks() for c in ("id", "uid", "uid2")), *_keys(hashes, first),
+                pa.array(counts.astype(np.int64)), pa.ListArray.from_arrays(pa.array(lists), pa.array(signed.ravel())),
+            ], names=["id", "uid", "uid2", "key1", "key2", "n_words", "bands"])
     return run
 
 
 def _sets(text: str, n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunks.pieces(batches, text, TEXT_BYTES):
-            found, first = shingles(*word_hashes(table.column(text), NON_WORD, lower=True), n)
+            hashes, words = word_hashes(table.column(text), NON_WORD, lower=True)
+            found, first = shingles(hashes, words, n)
             found &= SET_MASK
             blocks = [chunks.coded(np.unique(found[a:b])) for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
-                [table.column("uid").combine_chunks(), pa.array(blocks, pa.binary())], names=["node", "grams"])
+                [*_keys(hashes, words), pa.array(blocks, pa.binary())], names=["key1", "key2", "grams"])
     return run
 
 
@@ -197,18 +204,25 @@ def _by_cell(work, schema: pa.Schema):
     return run
 
 
+def row_names(text: str, id_column: str) -> tuple[Column, Column]:
+    """Two 64-bit names of a row, which together are the same for repeated rows only."""
+    own = F.col(id_column), F.col(text)
+    return F.xxhash64(*own), F.xxhash64(F.lit(1), *reversed(own))
+
+
 def with_uid(df: DataFrame, text: str, id_column: str) -> DataFrame:
-    """(uid, id, text): the uid is the same for repeated rows only."""
-    return df.select(F.xxhash64(F.col(id_column), F.col(text)).alias("uid"),
-                     F.col(id_column).alias("id"), F.col(text).alias("text"))
+    """(uid, uid2, id, text)"""
+    uid, uid2 = row_names(text, id_column)
+    return df.select(uid.alias("uid"), uid2.alias("uid2"), F.col(id_column).alias("id"), F.col(text).alias("text"))
 
 
 def ngram_join(df: DataFrame, text: str = "text", id_column: str = "doc_id", n: int = N_WORDS,
                threshold: float = THRESHOLD, recall: float = RECALL,
                most_hashes: int = MOST_HASHES) -> DataFrame:
-    """One row (uid, id, class_id, root, copies, n_links) for each row of ``df``.
+    """One row (uid, uid2, id, class_id, root, copies, n_links) for each row of ``df``.
 
-    ``root`` names a class by one of its rows' uid (null without words), ``class_id`` is the least id of all rows that hang together by links, ``copies`` the number
+    Texts are told apart by 128 bits of their words and numbered, so no two share a number. ``root``
+    is the number of one text of the class (null without words), ``class_id`` is the least id of all rows that hang together by links, ``copies`` the number
     of rows with the same words, ``n_links`` the number of rows that this one is linked to.
     """
     spark = ship(df.sparkSession)
@@ -220,9 +234,9 @@ def ngram_join(df: DataFrame, text: str = "text", id_column: str = "doc_id", n:
         _signer("text", n, bands, rows), f"id {id_type}, {_SIGNED}"), "ngram-signatures")
     worded = signed.where("n_words > 0")
     texts = materialize(worded.groupBy("key1", "key2").agg(
-        F.min("uid").alias("node"), F.count("*").alias("copies")), "ngram-texts")
-    nodes = (worded.join(texts, (worded.uid == texts.node) & (worded.key1 == texts.key1)
-                         & (worded.key2 == texts.key2))
+        F.min("uid").alias("uid"), F.count("*").alias("copies")).withColumn(
+        "node", F.monotonically_increasing_id()), "ngram-texts")
+    nodes = (worded.select("uid", "key1", "key2", "bands").join(texts, ["uid", "key1", "key2"])
              .select("node", "copies", "bands").dropDuplicates(["node"]))
     nodes = materialize(nodes, "ngram-nodes")
 
@@ -242,10 +256,13 @@ def ngram_join(df: DataFrame, text: str = "text", id_column: str = "doc_id", n:
     # Most texts of a bucket met in an earlier band; the n-gram sets travel to the first only.
     due = materialize(in_cells(cells.join(nodes.select("node", "bands"), "node")).mapInArrow(
         _by_cell(_meet, _MEETING), _MEETS), "ngram-meetings")
-    wanted = due.select(F.col("node").alias("uid")).distinct()
-    # The number of texts wanted grows with the data, hence no broadcast at any size.
-    grams = (source.select("uid", "text").join(wanted.hint("merge"), "uid", "left_semi")
-             .mapInArrow(_sets("text", n), "node long, grams binary").dropDuplicates(["node"]))
+    wanted = materialize(due.select("node").distinct().join(texts, "node"), "ngram-wanted")
+    # The number of texts wanted grows with the data, hence no broadcast at any size. A row is found
+    # by its uid, and whatever other row has the same falls out by the names of its words.
+    grams = (source.select("uid", "text").join(wanted.select("uid").hint("merge"), "uid", "left_semi")
+             .mapInArrow(_sets("text", n), "key1 long, key2 long, grams binary")
+             .join(wanted.select("node", "key1", "key2").hint("merge"), ["key1", "key2"])
+             .select("node", "grams").dropDuplicates(["node"]))
     full = due.join(nodes.join(grams, "node"), "node")
     links = materialize(in_cells(full).mapInArrow(
         _by_cell(lambda cell: _verify(cell, threshold), _LINKED), _LINKS), "ngram-links")
@@ -256,15 +273,15 @@ def ngram_join(df: DataFrame, text: str = "text", id_column: str = "doc_id", n:
               .select("key1", "key2", "copies", F.coalesce("root", "node").alias("root"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     groups = materialize(groups, "ngram-groups")
-    known = (signed.select("id", "uid", "key1", "key2", "n_words")
+    known = (signed.select("id", "uid", "uid2", "key1", "key2", "n_words")
              .join(groups, ["key1", "key2"], "left")
-             .select("id", "uid", F.when(F.col("n_words") > 0, F.col("root")).alias("root"),
+             .select("id", "uid", "uid2", F.when(F.col("n_words") > 0, F.col("root")).alias("root"),
                      F.when(F.col("n_words") > 0, F.col("copies")).otherwise(1).alias("copies"),
                      F.when(F.col("n_words") > 0, F.col("n_links")).otherwise(0).alias("n_links")))
     known = materialize(known, "ngram-rows")
     least = known.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
     return known.join(materialize(least, "ngram-classes"), "root", "left").select(
-        "uid", "id", F.coalesce("least", "id").alias("class_id"), "root", "copies", "n_links")
+        "uid", "uid2", "id", F.coalesce("least", "id").alias("class_id"), "root", "copies", "n_links")
 
 
 def distinct_documents(df: DataFrame, text: str = "text", id_column: str = "doc_id", **options) -> DataFrame:
@@ -274,12 +291,14 @@ def distinct_documents(df: DataFrame, text: str = "text", id_column: str = "doc_
     in id and text one stays.
     """
     joined = ngram_join(df, text, id_column, **options)
-    same = joined.where("n_links > 0").groupBy("root", "uid", "id").agg(F.count("*").alias("n"))
-    best = same.groupBy("root").agg(
-        F.min(F.struct(F.col("id").isNull(), "id", "uid", "n")).alias("best")).select("best.uid", "best.n")
-    kept = joined.where("n_links = 0").select("uid", F.lit(1).alias("n")).distinct().unionByName(best)
-    kept = materialize(kept.select(F.col("uid").alias("_kept_uid"), F.col("n").alias("_kept_n")), "ngram-kept")
-    rows = (df.withColumn("_row_uid", F.xxhash64(F.col(id_column), F.col(text)))
-            .join(kept.hint("merge"), F.col("_row_uid") == F.col("_kept_uid")))  # grows with the rows
-    rows = rows.where("_kept_n = 1").unionByName(rows.where("_kept_n > 1").dropDuplicates(["_row_uid"]))
+    same = joined.where("n_links > 0").groupBy("root", "uid", "uid2", "id").agg(F.count("*").alias("n"))
+    best = same.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "uid", "uid2", "n")).alias("best")).select(
+        "best.uid", "best.uid2", "best.n")
+    kept = joined.where("n_links = 0").select("uid", "uid2", F.lit(1).alias("n")).distinct().unionByName(best)
+    kept = materialize(kept.select(*[F.col(c).alias(f"_kept_{c}") for c in kept.columns]), "ngram-kept")
+    rows = (df.withColumns(dict(zip(("_row_uid", "_row_uid2"), row_names(text, id_column))))
+            .join(kept.hint("merge"), (F.col("_row_uid") == F.col("_kept_uid"))  # grows with the rows
+                  & (F.col("_row_uid2") == F.col("_kept_uid2"))))
+    rows = rows.where("_kept_n = 1").unionByName(
+        rows.where("_kept_n > 1").dropDuplicates(["_row_uid", "_row_uid2"]))
     return rows.select(*[rows[f"`{c}`"] for c in df.columns])
