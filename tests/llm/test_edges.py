@@ -2,6 +2,7 @@
 
 import collections
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -366,3 +367,38 @@ def test_fingerprints(spark, odd):
     assert len(edits) == 11 and all(0 <= r["near_edited"] <= 1 for r in edits)
     lone = collected(order_minhash.with_edits(odd.where("doc_id = 7")))
     assert lone[0]["near_next"] == 1 and order_minhash.with_edits(odd.limit(0)).count() == 0
+
+
+LONG = "many words of text " * 9
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<div class="post">{LONG}</div><div id="comments">{"I beg to differ " * 60}</div>', LONG.strip()),
+    (f'<article><h1>T</h1>{LONG}</article><div id="comments"><ol class="comment-list"><li><article class="comment-body">'
+     f'{"I beg to differ " * 60}</article></li></ol></div>', f"T {LONG.strip()}"),
+    (f'<article>{LONG}</article><article class="comment">no</article>', LONG.strip()),
+    ('<div class="cookie-notice">We use cookies, as all do.</div>', ""), ('<div class="menu">Home Press</div>', ""),
+    *[(f"<div><p>{LONG}</p></div><div class={name}>{'other things said ' * 30}</div>", LONG.strip()) for name in (
+        "siteFooter", "mainMenu", "commentSection", "userComments", "cookieConsent", "ad", "newsletter-box")],
+    *[(f"<div><p>{LONG}</p></div><div {how}>{'other things said ' * 30}</div>", LONG.strip()) for how in (
+        "role=navigation", 'role="contentinfo"', "role=complementary", "hidden", 'style="display: none"')],
+    (f'<div class="a hidden-gem" title="hidden x">{LONG}</div>', LONG.strip()),
+    (f'<article class="post comments-open has-sidebar"><h1>T</h1>{LONG}</article>', f"T {LONG.strip()}"),
+    (f'<div class="comment-free no-ads">{LONG}</div>', LONG.strip()),
+    (f"<ul><li>{LONG}<li>two<li>three</ul><table><tr><td>a<td>b<tr><td>c</table>", f"{LONG.strip()} two three a b c"),
+])
+def test_boilerplate_of_any_size_goes(page, text):
+    found = html_text.blocks(page)
+    for paths in ([], [html_text.own_path(found)[0]]):
+        assert html_text.extract(found, paths) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000 + LONG, "<div class=a>x" * 70_000, "<ul>" + "<li>x" * 200_000, "<p><b>x" * 150_000, "</i>" * 250_000 + LONG,
+    "<a href=x>" * 100_000 + LONG, "<div class=ad>" * 70_000 + LONG + "<h1>t</h1>", "<table>" + "<tr><td>x" * 100_000])
+def test_a_page_takes_time_in_proportion(page):
+    begun = time.perf_counter()
+    found = html_text.blocks(page)
+    path, _ = html_text.own_path(found)
+    assert html_text.extract(found, [path]) or "class=ad" in page
+    assert time.perf_counter() - begun < 10
