@@ -13,17 +13,22 @@ count the distinct symbols that precede. Each order has its own three discounts.
 4. A row is kept if its perplexity lies between the LOW and HIGH quantiles of the trusted rows of
    its language.
 
-All texts are read whole; what is gathered grows with the buckets, hence with the input. A hot id
+No text is judged by a model that has seen it: texts belong to FOLDS folds by a hash, copies to the
+same, and a text is scored by the model of the trusted texts of the other folds, trusted or not. So a
+trusted row that is held out fares like one that is not.
+
+Texts are packed once, into a stored table that both passes read. All texts are read whole; what is gathered grows with the buckets, hence with the input. A hot id
 is dealt over SALTS buckets.
 
 Defined results: a null text counts as empty, and an empty text is its end mark; a null or
 unknown language, or one without trusted rows, sets no thresholds and its rows are kept; a null id
-is never trusted; repeated rows are scored each, and count each if trusted; without trusted rows
+is never trusted; repeated rows are scored each, and count each if trusted; without trusted rows in other folds
 all symbols are equally likely; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,8 +51,15 @@ SALTS = 8
 LOW, HIGH = 0.001, 0.995
 ACCURACY = 100_000
 
+FOLDS = 2
+
 _PAYLOAD = "bucket long, payload binary"
-_GRAMS = "bucket long, gram long, n long"
+_N = [f"n{fold}" for fold in range(FOLDS)]
+_GRAMS = ", ".join(["bucket long, gram long", *(f"{n} long" for n in _N)])
+
+
+def fold_of(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % FOLDS
 
 
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -104,11 +116,12 @@ def _packer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     names, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    return names, np.bincount(place, np.concatenate([c for _, c in found])).astype(np.int64)
+    counts = np.concatenate([c for _, c in found], axis=1)
+    return names, np.stack([np.bincount(place, own, len(names)) for own in counts]).astype(np.int64)
 
 
 def _count(own: pa.Table, trusted: pa.Table) -> pa.Table:
-    """Distinct n-grams of a bucket, and how often its trusted texts have them."""
+    """Distinct n-grams of a bucket, and for each fold how often trusted texts of the others have them."""
     known = set(trusted.column("id").to_pylist())
     total: list[tuple[np.ndarray, np.ndarray]] = []
     for payload in own.column("payload").to_pylist():
@@ -116,24 +129,25 @@ def _count(own: pa.Table, trusted: pa.Table) -> pa.Table:
         ids = table.column("id").to_pylist()
         for begun, texts in _parts(table.column("text")):
             keys, first = ngrams(texts)
-            counted = np.repeat([i in known for i in ids[begun:begun + len(texts)]], np.diff(first))
+            fold = np.array([fold_of(t) if i in known else -1 for i, t in zip(ids[begun:], texts)])
             names, place = np.unique(keys, return_inverse=True)
-            total.append((names, np.bincount(place, counted, len(names))))
+            counted = [np.repeat((fold >= 0) & (fold != k), np.diff(first)) for k in range(FOLDS)]
+            total.append((names, np.stack([np.bincount(place, c, len(names)) for c in counted])))
             if len(total) > 16:
                 total = [_merged(total)]
-    schema = pa.schema([("bucket", pa.int64()), ("gram", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("bucket", pa.int64()), ("gram", pa.int64()), *((n, pa.int64()) for n in _N)])
     if not total:
         return schema.empty_table()
     names, counts = _merged(total)
     bucket = own.column("bucket")[0].as_py()
-    return pa.table([pa.array(np.full(len(names), bucket)), pa.array(names), pa.array(counts)], schema=schema)
+    return pa.table([pa.array(np.full(len(names), bucket)), pa.array(names), *map(pa.array, counts)], schema=schema)
 
 
 def _scorer(schema: pa.Schema):
     def run(own: pa.Table, known: pa.Table) -> pa.Table:
         grams = known.column("gram").to_numpy()
         order = np.argsort(grams)
-        grams, logs = grams[order], known.column("log_p").to_numpy()[order]
+        grams, logs = grams[order], np.stack([known.column(f"log_{n}").to_numpy()[order] for n in _N])
         done = [schema.empty_table()]
         for payload in own.column("payload").to_pylist():
             table = chunks.unpacked(payload)
@@ -144,7 +158,8 @@ def _scorer(schema: pa.Schema):
                 if not len(grams) or (grams[place] != keys).any():
                     raise ValueError("the input gave other rows when it was read again; store it first")
                 n[begun:begun + len(texts)] = np.diff(first)
-                total[begun:begun + len(texts)] = np.add.reduceat(logs[place], first[:-1])
+                fold = np.repeat([fold_of(t) for t in texts], np.diff(first))
+                total[begun:begun + len(texts)] = np.add.reduceat(logs[fold, place], first[:-1])
             done.append(pa.table([table.column("id"), table.column("lang"), pa.array(n),
                                   pa.array(np.exp(-total / n))], schema=schema))
         return pa.concat_tables(done)
@@ -207,8 +222,8 @@ def score(df: DataFrame, trusted: DataFrame, text: str = "text", id_column: str
     source = df.select(F.col(id_column).alias("id"), F.col(lang).cast("string").alias("lang"),
                        F.col(text).cast("string").alias("text"))
     salt = F.pmod(F.xxhash64("text"), F.lit(SALTS))
-    packed = source.withColumn("bucket", F.pmod(F.xxhash64("id", salt), buckets)).mapInArrow(
-        _packer, _PAYLOAD).groupBy("bucket")
+    packed = materialize(source.withColumn("bucket", F.pmod(F.xxhash64("id", salt), buckets)).mapInArrow(
+        _packer, _PAYLOAD), "kn-packed").groupBy("bucket")
     salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
     ids = trusted.select(F.col(trusted_id).cast(source.schema["id"].dataType).alias("id")).where(
         "id IS NOT NULL").distinct()
@@ -216,8 +231,11 @@ def score(df: DataFrame, trusted: DataFrame, text: str = "text", id_column: str
         F.pmod(F.xxhash64("id", "salt"), buckets).alias("bucket"), "id").distinct()
 
     told = materialize(packed.cogroup(by_bucket.groupBy("bucket")).applyInArrow(_count, _GRAMS), "kn-grams")
-    counts = materialize(told.groupBy("gram").agg(F.sum("n").alias("n")), "kn-counts")
-    replies = told.select("bucket", "gram").join(probabilities(counts), "gram")
+    counts = materialize(told.groupBy("gram").agg(*[F.sum(n).alias(n) for n in _N]), "kn-counts")
+    replies = told.select("bucket", "gram")
+    for n in _N:
+        logs = probabilities(counts.select("gram", F.col(n).alias("n"))).withColumnRenamed("log_p", f"log_{n}")
+        replies = replies.join(logs, "gram")
     result = StructType([source.schema["id"], source.schema["lang"], StructField("n_symbols", LongType()),
                          StructField("perplexity", DoubleType())])
     scores = materialize(packed.cogroup(replies.groupBy("bucket")).applyInArrow(
