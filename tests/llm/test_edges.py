@@ -402,3 +402,13 @@ def test_a_page_takes_time_in_proportion(page):
     path, _ = html_text.own_path(found)
     assert html_text.extract(found, [path]) or "class=ad" in page
     assert time.perf_counter() - begun < 10
+
+
+def test_only_what_was_found_is_taken_out(spark):
+    said = "The harbour master asked for the list of all ships."
+    rows = [(1, 0, "u", said), (1, 1, "a", f"On 5 March 2015 at 10:15, Anna Bell <anna@harbour.example>\nwrote:\n> {said}\nDone."),
+            (1, 2, "u", "Run this:\n>>> print(1)\nand tell me"), (1, 3, "a", "He always said:\n> nobody knows\nhm"),
+            (1, 4, "u", f"Two things:\n\n> {said}\nyes"), (1, 5, "a", "> all of it\n> was never said")]
+    found = {r["turn"]: r["text"] for r in quotation.reply_ordered(
+        spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}
+    assert found == {0: said, 1: "Done.", 2: rows[2][3], 3: rows[3][3], 4: "Two things:\nyes", 5: rows[5][3]}

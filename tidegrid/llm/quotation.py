@@ -1,7 +1,8 @@
 """Conversations in reply order, without quotations.
 
-1. Every message is parsed into its own lines and quoted lines, by depth of ``>`` marks; the line
-   that introduces a quotation ("... wrote:") goes with it.
+1. Every message is parsed into its own lines and quoted lines, by depth of ``>`` marks. What
+   introduces a quotation goes with it: a line like "... wrote:", or up to three lines of one paragraph
+   that end in a colon and hold a mail address or the numbers of a date.
 2. Quoted lines of one level that follow each other are a passage. It is normalised (white space
    over line ends, case) and every window of WORDS words, or all of a shorter passage, is hashed,
    and every single line. They are joined to the windows and lines of the own texts of the same
@@ -16,7 +17,10 @@
 so a conversation, or a line, that a third of all rows share is many small groups, and no pairs
 of messages are made. Paths of runs are joined by pointer doubling.
 
-Defined results: a null or empty text stays as it is and quotes nothing; a message of quotations
+Nothing is taken out of a message for which no original was found: its text stays whole, marks
+and all, as a prompt or a shell session may look like a quotation.
+
+Defined results: a null or empty text stays as it is and quotes nothing; a message of found quotations
 only has an empty text; a null conversation is one conversation; messages without a turn come
 last; messages of the same turn stand next to each other, by role and text, have one parent and
 never quote each other; repeated rows get a place each; an empty table gives an empty result;
@@ -41,9 +45,12 @@ SPAN = 1024
 WORDS = 5
 SALTS = 64
 NO_TURN = (1 << 62)
+INTRODUCTION_LINES = 3
+OWNED = 50_000
 
 _MARKS = re.compile(r"\s*((?:>\s?)+)(.*)", re.S)
 _INTRODUCTION = re.compile(r".*\b(?:wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*", re.I | re.S)
+_DATED = re.compile(r"\S@\S|\d\D+\d+\D+\d")
 _WORD = re.compile(r"[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]|[^\s\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]+")
 _UNIT = StructType([StructField("level", LongType()), StructField("words", LongType()),
                     StructField("hash", LongType()), StructField("size", LongType())])
@@ -74,6 +81,20 @@ def own_units(text: str, sizes: Iterable[int]) -> set[int]:
     return found
 
 
+def _introduction(own: list[str]) -> int:
+    """How many of the last lines introduce a quotation."""
+    if not own or not own[-1].rstrip().endswith(":"):
+        return 0
+    lines: list[str] = []
+    for line in reversed(own[-INTRODUCTION_LINES:]):
+        if not line.strip():
+            break
+        lines.insert(0, line)
+        if _DATED.search(" ".join(lines)):
+            return len(lines)
+    return int(_INTRODUCTION.fullmatch(own[-1]) is not None)
+
+
 def parsed(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
     """The text without quotations, and (level, words, hash, size) of what is quoted; lines have 0 words."""
     own: list[str] = []
@@ -84,8 +105,8 @@ def parsed(text: str) -> tuple[str, list[tuple[int, int, int, int]]]:
         if found:
             while not quoted and own and not own[-1].strip():
                 own.pop()
-            if not quoted and own and _INTRODUCTION.fullmatch(own[-1]):
-                own.pop()
+            if not quoted:
+                del own[len(own) - _introduction(own):]
             if found[2].strip():
                 if level != found[1].count(">"):
                     level = found[1].count(">")
@@ -109,21 +130,31 @@ def _parser(schema: pa.Schema):
         for batch in batches:
             found = [(None, []) if t is None else parsed(t) for t in batch.column("text").to_pylist()]
             bodies = pa.array([b for b, _ in found], pa.string())
+            texts = batch.column("text").to_pylist()
+            whole = pa.array([t if t != b else None for t, (b, _) in zip(texts, found)], pa.string())
             units = pa.array([[dict(zip(_UNIT.names, x)) for x in own] for _, own in found],
                              schema.field("units").type)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("conv_id", "conv", "turn", "at", "role")] + [bodies, units],
+                [batch.column(c) for c in ("conv_id", "conv", "turn", "at", "role")] + [bodies, whole, units],
                 schema=schema)
     return run
 
 
 def _owner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in held], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))],
+            names=["conv", "at", "hash"])
+
+    held: list[tuple] = []
     for batch in batches:
         for conv, at, text, sizes in zip(*(batch.column(c).to_pylist() for c in ("conv", "at", "text", "sizes"))):
-            found = sorted(own_units(text, sizes))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([conv] * len(found), pa.string()), pa.array([at] * len(found), pa.int64()),
-                 pa.array(found, pa.int64())], names=["conv", "at", "hash"])
+            held += [(conv, at, unit) for unit in sorted(own_units(text, sizes))]
+            if len(held) >= OWNED:
+                yield out(held)
+                held = []
+    if held:
+        yield out(held)
 
 
 def latest(rows: DataFrame, keys: list[str], at: str, value: Column, name: str, own: bool) -> DataFrame:
@@ -191,7 +222,8 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
         F.col(turn).alias("turn"), F.coalesce(F.col(turn).cast("long"), F.lit(NO_TURN)).alias("at"),
         F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     kind = StructType([*(source.schema[c] for c in ("conv_id", "conv", "turn", "at", "role")),
-                       StructField("text", StringType()), StructField("units", ArrayType(_UNIT))])
+                       StructField("text", StringType()), StructField("whole", StringType()),
+                       StructField("units", ArrayType(_UNIT))])
     messages = materialize(source.mapInArrow(_parser(to_arrow_schema(kind)), kind), "quote-messages")
 
     turns = messages.select("conv", "at").distinct()
@@ -216,7 +248,8 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
     inside = Window.partitionBy("conv", "run", "bucket").orderBy("at", "role", "text")
     placed = rows.withColumn("inside", F.row_number().over(inside) - 1).join(begins, ["conv", "run", "bucket"])
     parent = F.coalesce("link", "before")
+    text_left = F.when(F.col("link").isNull(), F.coalesce("whole", "text")).otherwise(F.col("text"))
     return placed.select(
-        "conv_id", "turn", "role", "text",
+        "conv_id", "turn", "role", text_left.alias("text"),
         F.when(parent < NO_TURN, parent).alias("parent_turn"), F.col("link").isNotNull().alias("quotes"),
         F.col("depth").cast("long").alias("depth"), (F.col("begins") + F.col("inside")).alias("place"))
