@@ -1,5 +1,5 @@
 from conftest import rows
-from tidegrid import __main__ as cli, sinks
+from tidegrid import __main__ as cli, metrics, sinks
 from tidegrid.plans import job, q1, q2
 from tidegrid.constants import WEEK_DAYS
 from tidegrid.schema import Q1_RENDERED_SCHEMA, Q2_RENDERED_SCHEMA
@@ -44,6 +44,8 @@ def test_stream_job_from_raw_log(spark, tmp_path):
     positions = spark.read.parquet(f"{out}/ingest/positions")
     assert (rows(sinks.read_lines(spark, f"{out}/reports/week/q1", Q1_RENDERED_SCHEMA))
             == rows(q1.rendered(q1.q1(positions, WEEK_DAYS))))
+    counted = metrics.batch_counts(spark, f"{out}/reports/counts").groupBy("name").sum("n")
+    assert rows(counted) == [("feed_records", positions.count() + 1), ("late", 0)]
 
 
 def test_no_records_give_empty_reports(spark, positions):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-from tidegrid.metrics import BatchCounts
 from tidegrid.plans import job as batch_job
 from tidegrid.session import build_session
 from tidegrid.sources import normalized, replay
@@ -44,11 +43,7 @@ def main(argv: list[str] | None = None) -> None:
                                              args.source_tz, args.draught_compat)
         replay.publish(positions, f"{args.out}/feed")
     else:
-        counts = BatchCounts(spark, f"{args.out}/counts")
-        spark.streams.addListener(counts)
-        counts.wait_for(stream_job.start_feed(spark, args.source, args.out, args.slot_tz,
-                                              finite=not args.continuous))
-        stream_job.write_open(spark, args.out)
+        stream_job.run_feed(spark, args.source, args.out, args.slot_tz, finite=not args.continuous)
 
 
 if __name__ == "__main__":

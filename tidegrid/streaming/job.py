@@ -53,8 +53,23 @@ def start(positions: DataFrame, out: str, slot_tz: str = "UTC", finite: bool = F
 def start_feed(spark: SparkSession, feed: str, out_dir: str, slot_tz: str = "UTC",
                finite: bool = False) -> StreamingQuery:
     """Start the weekly and 31-day reports. ``finite`` stops at the end of the feed."""
+    return _start_feed(spark, feed, out_dir, slot_tz, finite)[0]
+
+
+def _start_feed(spark: SparkSession, feed: str, out_dir: str, slot_tz: str,
+                finite: bool) -> tuple[StreamingQuery, metrics.BatchCounts]:
     session = runner.streaming_session(spark)
-    return start(replay.read_feed(session, feed), out_dir, slot_tz, finite)
+    counts = metrics.BatchCounts(spark, f"{out_dir}/counts")
+    session.streams.addListener(counts)  # a listener hears the streams of its own session only
+    return start(replay.read_feed(session, feed), out_dir, slot_tz, finite), counts
+
+
+def run_feed(spark: SparkSession, feed: str, out_dir: str, slot_tz: str = "UTC", finite: bool = True) -> None:
+    """Run the reports to the end of the feed, or until stopped: with the counts of all batches in
+    ``out_dir/counts``, and at the end the windows that are still open."""
+    query, counts = _start_feed(spark, feed, out_dir, slot_tz, finite)
+    counts.wait_for(query)
+    write_open(spark, out_dir)
 
 
 def write_open(spark: SparkSession, out: str) -> None:
