@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidegrid.constants import TOP_N
+from tidegrid.constants import GRID_COLUMNS, GRID_LETTERS, OFF_GRID, TOP_N
 from tidegrid.functions import cell_name, rank_list, sea_name
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -84,7 +84,6 @@ class _State(Memory):
 
 def _name(cell: int) -> str:
     """Sector id of a cell, by which ties are broken."""
-    from tidegrid.constants import GRID_COLUMNS, GRID_LETTERS, OFF_GRID
     return OFF_GRID if cell < 0 else f"{GRID_LETTERS[cell // GRID_COLUMNS]}{cell % GRID_COLUMNS + 1}"
 
 
@@ -150,7 +149,7 @@ def closed_and_ranked(closed: DataFrame, suppress_first: bool = True) -> DataFra
     with_state_store(closed.sparkSession)
     rows = closed.withColumn("window_micros", F.unix_micros("window_start")).drop("window", "window_start")
     kinds = T.StructType([T.StructField("closed", rows.schema),
-                          T.StructField("ranked", T._parse_datatype_string(RANKED_SCHEMA))])
+                          T.StructField("ranked", T.StructType.fromDDL(RANKED_SCHEMA))])
     return rows.groupBy("days").transformWithState(
         CumulativeRanking(rows.columns, suppress_first), kinds, "Append", "None")
 
