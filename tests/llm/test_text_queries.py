@@ -215,3 +215,42 @@ def test_trusted_rows_that_are_held_out_fare_like_the_others(spark):
     shares = [found[found.id.isin(group)].keep.mean() for group in (trusted, held_out)]
     # Quantiles of some 25 rows of a language are its least and greatest: of new rows some 1 in 13 lies beyond.
     assert shares[0] - shares[1] < 0.08 and shares[1] > 0.9
+
+
+WORD = (1 << 64) - 1
+
+
+def mixed_by_hand(h):
+    h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & WORD
+    h = (h ^ h >> 29) * 0xC2B2AE3D27D4EB4F & WORD
+    return h ^ h >> 32
+
+
+def order_minhash_by_hand(text):
+    """The fingerprint by k-mers as strings with their numbers, on plain integers."""
+    from tidegrid.llm import order_minhash as m
+    seen, names = collections.Counter(), []
+    for p in range(max(1, len(text) - m.K + 1)):
+        kmer = text[p:p + m.K]
+        power, name = 1, 0
+        for c in kmer:
+            name, power = (name + mixed_by_hand(ord(c) + 1) * power) & WORD, power * int(m._BASE) & WORD
+        name = mixed_by_hand(name)
+        if seen[kmer]:
+            name = mixed_by_hand((name + seen[kmer] * 0xA24BAED4963EE407) & WORD)
+        seen[kmer] += 1
+        names.append(name)
+    out = ""
+    for factor in map(int, m._FACTORS):
+        least = sorted(range(len(names)), key=lambda p: (names[p] * factor & WORD, p))[:m.TUPLE]
+        total = factor
+        for p in sorted(least):
+            total = mixed_by_hand((total * 0x9E3779B97F4A7C15 + names[p]) & WORD)
+        out += f"{total >> 32:08x}"
+    return out
+
+
+def test_fingerprints_equal_those_by_hand(table):
+    texts = sorted((r["text"] for r in table.values()), key=len)[:25] + ["", "a", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "été 日本 " * 9]
+    for text in texts:
+        assert shown(signature(text)) == order_minhash_by_hand(text)
