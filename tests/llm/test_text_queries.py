@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm_helpers import SF, grams, plain_words, words
@@ -254,3 +255,27 @@ def test_fingerprints_equal_those_by_hand(table):
     texts = sorted((r["text"] for r in table.values()), key=len)[:25] + ["", "a", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "été 日本 " * 9]
     for text in texts:
         assert shown(signature(text)) == order_minhash_by_hand(text)
+
+
+def test_languages_are_decoded_as_by_hand(spark, table):
+    """The codeword of least weighted loss, its share of all, and the flag where the second is near."""
+    import math
+
+    import pyarrow as pa
+
+    from tidegrid.llm import language_id
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(docs, F.lit(True))
+    texts = [r["text"] for r in table.values()][:40] + ["der the", "12 34", "été and die que"]
+    column = pa.chunked_array([pa.array(texts)])
+    names, scores, ambiguous = model.predict(column)
+    for text, margins, name, score, flag in zip(texts, model.margins(column.combine_chunks()), names, scores, ambiguous):
+        losses = [sum(w * math.log1p(math.exp(-c * m)) if -c * m < 500 else w * -c * m
+                      for c, m, w in zip(word, margins, model.bit_weights)) for word in model.code]
+        shares = sorted((math.exp(min(losses) - x) for x in losses), reverse=True)
+        if any(c.isalpha() for c in text):
+            assert name == model.languages[losses.index(min(losses))]
+            assert score == pytest.approx(shares[0] / sum(shares), rel=1e-6)
+            assert flag == ((shares[0] - shares[1]) / sum(shares) < language_id.CLEAR)
+        else:
+            assert (name, score, flag) == (language_id.UNDETERMINED, 0, False)
