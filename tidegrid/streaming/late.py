@@ -26,12 +26,12 @@ def record_late(rows: DataFrame, batch_id: int, days: int, out: str) -> None:
     before = f"{out}/latest/batch={batch_id - 1}"
     known = spark.read.schema(_LATEST).parquet(before) if is_complete(spark, before) else (
         spark.createDataFrame([(None,)], _LATEST))
-    in_force = known.select((F.col("latest") - F.expr(f"INTERVAL {WATERMARK_DELAY}")).alias("watermark"))
-    late = rows.crossJoin(F.broadcast(in_force)).where(  # one row
-        event_window(F.col("ts"), days)["end"] <= F.col("watermark"))
+    latest = known.agg(F.max("latest")).scalar()
+    watermark = (latest - F.expr(f"INTERVAL {WATERMARK_DELAY}")).alias("watermark")
+    late = rows.select("*", watermark).where(event_window(F.col("ts"), days)["end"] <= F.col("watermark"))
     late.write.mode("overwrite").parquet(f"{out}/late/batch={batch_id}")
-    latest = rows.agg(F.max("ts").cast("timestamp").alias("own")).crossJoin(F.broadcast(known))
-    latest.select(F.greatest("own", "latest").alias("latest")).coalesce(1).write.mode("overwrite").parquet(
+    own = rows.agg(F.max("ts").cast("timestamp").alias("own"))
+    own.select(F.greatest("own", latest).alias("latest")).coalesce(1).write.mode("overwrite").parquet(
         f"{out}/latest/batch={batch_id}")
 
 
