@@ -14,6 +14,7 @@ from llm_helpers import DOCUMENT, documents, grams, prose  # noqa: F401
 from tidegrid.llm import (
     components, decontamination, html_text, kneser_ney, language_id, ngram_join, order_minhash, packing,
     queries, quotation, sharding, substring_dedup, words)
+from tidegrid.session import materialize
 
 TOKENIZER = public_tokenizers.path(queries.TOKENIZER)
 
@@ -354,6 +355,36 @@ def test_repeats_inside_one_text_and_shorter_ones(spark, documents, prose):  # n
     assert found[2]["n_removed"] == found[3]["n_removed"] == 0
 
 
+@pytest.mark.parametrize("fan, digits", [(1, 3), (2, 5), (8, 10)])
+def test_repeats_over_relays(spark, documents, prose, monkeypatch, fan, digits):  # noqa: F811
+    """Any number of levels between chunks and shards gives the words that brute force removes."""
+    passages = [prose(n, 100 + n) for n in (34, 35, 36, 60, 90)]
+    texts = [f"{prose(5 + i % 7, i)} {passages[i % 5]} {prose(i % 40, 300 + i)} {passages[i % 3] if i % 4 else ''}"
+             for i in range(60)] + [passages[4]] * 40 + [prose(80, 999), ""]
+    rows = materialize(documents(*enumerate(texts), (None, None)).repartition(5), "texts")
+    own = [t.split() for t in texts]
+    seen = collections.Counter(tuple(w[p:p + 35]) for w in own for p in range(len(w) - 34))
+    kept = [[w for p, w in enumerate(ws) if not any(
+        seen[tuple(ws[q:q + 35])] > 1 for q in range(max(0, p - 34), min(p, len(ws) - 35) + 1))] for ws in own]
+    monkeypatch.setattr(substring_dedup, "FAN_DIGITS", fan)
+    monkeypatch.setattr(substring_dedup.chunks, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(substring_dedup.chunks, "shard_bits", lambda *_: digits)
+    found = {r["doc_id"]: r for r in substring_dedup.remove_repeats(rows).collect()}
+    assert [found[i]["kept"].split() for i in range(len(texts))] == kept and found[None]["kept"] is None
+    assert len(found) == len(texts) + 1 and any(k != w for k, w in zip(kept, own))
+
+
+def test_messages_follow_the_input_not_its_square():
+    for digits in (1, 8, 9, 17, 24):
+        levels = substring_dedup._levels(digits)
+        steps = np.diff([0, *levels])
+        assert levels[-1] == digits and steps.min() > 0 and steps.max() <= substring_dedup.FAN_DIGITS
+    values = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 5000, np.uint64))
+    flags = np.zeros(5000, bool)
+    sent = substring_dedup._messages(values, flags, flags, 1, 8, np.uint64, 15)
+    assert len(sent) <= 256 and sum(m["n"] for m in sent) == 5000
+
+
 def test_fingerprints(spark, odd):
     found = order_minhash.fingerprints(odd.withColumn("fingerprint", F.lit(1)))
     prints = {}
