@@ -309,13 +309,44 @@ def test_texts_shorter_than_an_item_leak_it_too(spark, prose, documents):  # noq
     assert (found[0, 0]["start"], found[0, 0]["n_words"]) == (0, 48) and {(1, 0), (5, 0), (10, 5)} <= set(expected)
 
 
-def test_the_hamming_index_finds_all_within_the_radius():
-    draw = np.random.default_rng(0)
-    length = decontamination._Length(30, 5, 0.8, [(i, draw.integers(0, 1 << 63, 26, np.uint64)) for i in range(40)])
-    prints = length.prints[draw.integers(0, 40, 500)] ^ np.packbits(draw.random((500, 64)) < draw.random((500, 1)) * 0.4, axis=1)
-    near = {(w, i) for w in range(500) for i in range(40)
-            if decontamination.hamming(prints[w], length.prints[i]) <= decontamination.RADIUS}
-    assert {(int(w), int(i)) for w, i in zip(*length.candidates(prints))} == near != set()
+@pytest.mark.parametrize("places", [1, 9, 26, 46, 300])
+def test_the_hamming_index_finds_all_within_the_radius(places):
+    """All within the radius, few others, and nearly all windows that are just similar enough."""
+    draw = np.random.default_rng(places)
+    own = draw.integers(0, 1 << 64, (300, places), np.uint64)
+    length = decontamination._Length(places + 4, 5, 0.8, list(enumerate(own)))
+    prints = length.prints[draw.integers(0, 300, 500)] ^ np.packbits(draw.random((500, 64)) < draw.random((500, 1)) * 0.4, axis=1)
+    near = decontamination.hamming(prints[:, None], length.prints[None]) <= length.radius
+    found = np.zeros_like(near)
+    found[length.candidates(prints)] = True
+    assert (found == near).all() and near.any()
+    other = decontamination.simhash(draw.integers(0, 1 << 64, (500, places), np.uint64))
+    assert len(length.meeting(other)[0]) < 0.1 * 500 * 300
+    windows = np.tile(own, (10, 1))
+    changed = places - length.least
+    windows[:, :changed] = draw.integers(0, 1 << 64, (3000, changed), np.uint64)
+    pairs = set(zip(*map(np.ndarray.tolist, length.candidates(decontamination.simhash(windows)))))
+    assert np.mean([(w, w % 300) in pairs for w in range(3000)]) > 0.99
+
+
+def test_a_repeating_passage_leaks_whatever_its_fingerprint():
+    """The shared words and one word that repeats: far apart by fingerprint, near by similarity."""
+    words_of = [f"w{i}" for i in range(500)]
+    items = decontamination.Items([" ".join(words_of), " ".join(words_of[:400] + ["x"] * 100)], 5, 0.65)
+    texts = [words_of[:400] + ["z"] * 100, words_of[:400] + ["x"] * 100, words_of[:300]]
+    found = items.leaks(pa.array([" ".join(["and", *t]) for t in texts]))
+    assert {k: round(v[0], 6) for k, v in found.items()} == {
+        (0, 0): round(396 / 596, 6), (1, 0): round(396 / 596, 6), (1, 1): 1.0, (0, 1): round(396 / 596, 6)}
+
+
+def test_items_are_grouped_by_what_they_need(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "MOST_BYTES", 20 * decontamination.ITEM_BYTES)
+    items = spark.range(200).selectExpr("id AS item_id", "concat('w', id) AS text")
+    groups = list(decontamination._groups(items, "text", "item_id"))
+    assert len(groups) > 10 and sorted(r["item"] for g in groups for r in g) == list(range(200))
+    length = decontamination._Length(1, 5, 0.8, [(i, np.array([i], np.uint64)) for i in range(1000)])
+    size = sum(a.nbytes for _, _, *arrays in length.blocks for a in arrays) + length.prints.nbytes
+    assert size < 100 * 1000 and length.radius == 0
 
 
 def test_languages(spark, documents, prose):  # noqa: F811
