@@ -173,6 +173,54 @@ def test_quotations_across_buckets(spark, monkeypatch):
     assert sorted(place.values()) == list(range(40)) and all(place[r["turn"]] > place.get(r["parent_turn"], -1) for r in found)
 
 
+def depth_first(parents):
+    """Places and depths of the messages of one conversation, from their parents, by hand."""
+    run_of, runs = {}, {}
+    for t, parent in parents.items():
+        run_of[t] = run_of[parent] if t and parent == t - 1 else t
+        runs.setdefault(run_of[t], []).append(t)
+    below = {}
+    for run in runs:
+        if run:
+            below.setdefault(run_of[parents[run]], []).append(run)
+    found, todo = {}, [(0, 0)]
+    while todo:
+        run, depth = todo.pop()
+        for t in runs[run]:
+            found[t] = (len(found), depth)
+        todo += [(r, depth + 1) for r in sorted(below.get(run, []), key=lambda r: (-parents[r], r), reverse=True)]
+    return found
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_reply_order_of_many_quoting_messages(spark, monkeypatch, small):
+    """Three thousand messages that quote any earlier one, nesting hundreds deep, against a plain walk."""
+    draw = np.random.default_rng(5)
+    rows, expected = [], {}
+    for conv, n in ((1, 1500), (2, 900), (3, 1), (4, 599), (5, 2)):
+        parents = {0: None}
+        for t in range(1, n):  # conversation 4 nests as deep as it can, the others branch anywhere
+            quotes = t % 2 == 0 if conv == 4 else draw.random() < 0.6
+            parents[t] = (t - 2 if conv == 4 else int(draw.integers(0, t))) if quotes else t - 1
+        rows += [(conv, t, "u", f"> word{conv} {p}\nword{conv} {t}" if p not in (None, t - 1) else f"word{conv} {t}")
+                 for t, p in parents.items()]
+        expected.update({(conv, t): (parents[t], *x) for t, x in depth_first(parents).items()})
+    if small:
+        monkeypatch.setattr(quotation, "PLACE_SPAN", 64)
+        monkeypatch.setattr(quotation, "SPAN", 16)
+    found = quotation.reply_ordered(spark.createDataFrame(
+        rows, "conv_id long, turn int, role string, text string").repartition(3)).collect()
+    assert {(r["conv_id"], r["turn"]): (r["parent_turn"], r["place"], r["depth"]) for r in found} == expected
+    assert max(depth for _, _, depth in expected.values()) > 200
+
+
+def test_a_hot_conversation_without_turns(spark):
+    rows = [(None, None, "u", "same")] * 3000 + [(None, None, "a", f"> same\n{i}") for i in range(50)] + [(None, 1, "u", "x")]
+    found = quotation.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    told = sorted((r["place"], r["turn"], r["role"]) for r in found.collect())
+    assert told == [(0, 1, "u"), *((p, None, "a") for p in range(1, 51)), *((p, None, "u") for p in range(51, 3051))]
+
+
 def test_wrapped_and_partial_quotations_find_their_source(spark):
     long = "The harbour master asked for the list of all ships. It has to be sent before noon on Monday, please. Yes?"
     wrapped = "> The harbour master asked for the list\n> of all ships. It has to be sent\n> before noon on Monday, please. Yes?"

@@ -13,9 +13,12 @@
    message hangs below it. ``place`` numbers a conversation depth first: a run, then the runs that
    go back into it, those that go back least first.
 
-"Latest earlier" and the numbers are found in buckets of SPAN turns and then across the buckets,
-so a conversation, or a line, that a third of all rows share is many small groups, and no pairs
-of messages are made. Paths of runs are joined by pointer doubling.
+"Latest earlier" is found in buckets of SPAN turns and then across the buckets, so a conversation,
+or a line, that a third of all rows share is many small groups, and no pairs of messages are made.
+The runs of all conversations that have several are one list of steps into and out of each, which
+``list_rank`` gives places: what is stored grows with the runs, however deep they nest. Messages
+are numbered after one sort by ranges, equal ones by a number of their own, so neither a
+conversation nor a turn (or the lack of one) meets in one task.
 
 Nothing is taken out of a message for which no original was found: its text stays whole, marks
 and all, as a prompt or a shell session may look like a quotation.
@@ -38,10 +41,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from tidegrid.llm.list_rank import places
+from tidegrid.llm.prefix_trie import numbered
 from tidegrid.llm.shipping import ship
 from tidegrid.session import materialize
 
 SPAN = 1024
+PLACE_SPAN = 1 << 16
 WORDS = 5
 SALTS = 64
 NO_TURN = (1 << 62)
@@ -196,20 +202,48 @@ def linked(messages: DataFrame) -> DataFrame:
     return votes.groupBy("conv", "at").agg(best).select("conv", "at", F.col("best.source").alias("link"))
 
 
-def _paths(runs: DataFrame) -> DataFrame:
-    """(conv, run, path): the way from the conversation's first run, as sortable steps."""
-    step = F.array(F.struct((-F.col("link")).alias("back"), F.col("run").alias("run")))
-    empty = F.array().cast("array<struct<back:bigint,run:bigint>>")
-    paths = materialize(runs.select(
-        "conv", "run", "above", F.when(F.col("above").isNull(), empty).otherwise(step).alias("path")), "quote-paths")
-    while paths.where("above IS NOT NULL").limit(1).count():
-        up = paths.select("conv", F.col("run").alias("above"), F.col("above").alias("_above"),
-                          F.col("path").alias("_path"))
-        paths = materialize(paths.join(up, ["conv", "above"], "left").select(
-            "conv", "run", F.col("_above").alias("above"),
-            F.when(F.col("_path").isNull(), F.col("path")).otherwise(F.concat("_path", "path")).alias("path")),
-            "quote-paths")
-    return paths.select("conv", "run", "path")
+def _tour(runs: DataFrame) -> DataFrame:
+    """Steps into (2 no) and out of (2 no + 1) each numbered run as a linked list, depth first."""
+    kids = runs.where("hangs").groupBy("conv", "above").agg(F.min("no").alias("first"), F.count("*").alias("n"))
+    runs = materialize(runs.join(kids.withColumnRenamed("above", "run"), ["conv", "run"], "left"), "quote-hanging")
+    n_roots = runs.where("NOT hangs").count()
+    near = [F.col("mixed").alias("a"), F.col("run").alias("b")]
+    out = F.col("no") * 2 + 1
+    down = runs.select((F.col("no") * 2).alias("element"), F.coalesce(F.col("first") * 2, out).alias("next"), *near)
+    last = runs.where("n > 0").select((F.col("first") + F.col("n") - 1).alias("no"), out.alias("up"))
+    ends = ~F.col("hangs") & (F.col("no") == n_roots - 1)
+    up = runs.join(last, "no", "left").select(
+        out.alias("element"),
+        F.when(ends, F.lit(-1).cast("long")).otherwise(F.coalesce("up", F.col("no") * 2 + 2)).alias("next"), *near)
+    return down.unionByName(up)
+
+
+def preorder(runs: DataFrame) -> DataFrame:
+    """(conv, run, rank, depth) of the runs of conversations with several: ranks ascend depth first.
+
+    Takes (conv, run, link, above): the message a run quotes and the run it is in, null for the first.
+    """
+    several = runs.groupBy("conv").agg(F.count("*").alias("n")).where("n > 1").select("conv")
+    forest = runs.join(several, "conv", "left_semi").select(
+        "conv", "run", "above", F.col("above").isNotNull().alias("hangs"), (-F.col("link")).alias("back"),
+        F.xxhash64("conv").alias("mixed"))
+    order = ["hangs", "mixed", "conv", "above", "back", "run"]
+    forest = numbered(forest, order, [], [F.col(c) for c in order], "quote-runs")
+    forest = materialize(forest.withColumnRenamed("place", "no"), "quote-runs")
+
+    steps = places(_tour(forest)).select(
+        "element", "place", F.floor(F.col("place") / PLACE_SPAN).alias("span"),
+        F.when(F.col("element") % 2 == 0, 1).otherwise(-1).cast("long").alias("deeper"))
+    steps = materialize(steps, "quote-steps")
+    before = (Window.unboundedPreceding, -1)
+    carried = materialize(steps.groupBy("span").agg(F.sum("deeper").alias("deeper")).select(
+        "span", F.coalesce(F.sum("deeper").over(Window.orderBy("span").rowsBetween(*before)), F.lit(0)).alias("carried")),
+        "quote-spans")
+    inside = F.sum("deeper").over(Window.partitionBy("span").orderBy("place").rowsBetween(*before))
+    ranks = steps.withColumn("inside", F.coalesce(inside, F.lit(0))).join(carried, "span").where(
+        "element % 2 = 0").select(F.shiftright("element", 1).alias("no"), F.col("place").alias("rank"),
+                                  (F.col("carried") + F.col("inside")).alias("depth"))
+    return forest.join(ranks, "no").select("conv", "run", "rank", "depth")
 
 
 def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -235,21 +269,20 @@ def reply_ordered(df: DataFrame, conversation: str = "conv_id", turn: str = "tur
 
     runs = turns.where("begins IS NOT NULL").select("conv", "run", "link")
     targets = turns.select("conv", F.col("at").alias("link"), F.col("run").alias("above"))
-    paths = _paths(runs.join(targets, ["conv", "link"], "left"))
-
-    # Places: of runs in their conversation, of buckets of turns in their run, of rows in a bucket.
-    rows = messages.join(turns.select("conv", "at", "before", "link", "run"), ["conv", "at"]).withColumn(
-        "bucket", F.floor(F.col("at") / SPAN))
-    rows = materialize(rows, "quote-rows")
-    counts = rows.groupBy("conv", "run", "bucket").agg(F.count("*").alias("n")).join(paths, ["conv", "run"])
-    before = Window.partitionBy("conv").orderBy("path", "run", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("conv", "run", "bucket", F.size("path").alias("depth"),
-                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begins"))
-    inside = Window.partitionBy("conv", "run", "bucket").orderBy("at", "role", "text")
-    placed = rows.withColumn("inside", F.row_number().over(inside) - 1).join(begins, ["conv", "run", "bucket"])
+    ranks = materialize(preorder(runs.join(targets, ["conv", "link"], "left")), "quote-ranks")
+
+    rows = messages.join(turns.select("conv", "at", "before", "link", "run"), ["conv", "at"]).join(
+        ranks, ["conv", "run"], "left")
+    zero = F.lit(0).cast("long")
+    rows = materialize(rows.withColumns({
+        "rank": F.coalesce("rank", zero), "depth": F.coalesce("depth", zero),
+        "tie": F.monotonically_increasing_id()}), "quote-rows")
+    order = ["conv", "rank", "at", "role", "text", "tie"]
+    placed = numbered(rows, order, ["conv"], [F.col(c) for c in (
+        "conv", "conv_id", "turn", "role", "text", "whole", "before", "link", "depth")], "quote-placed")
     parent = F.coalesce("link", "before")
     text_left = F.when(F.col("link").isNull(), F.coalesce("whole", "text")).otherwise(F.col("text"))
     return placed.select(
         "conv_id", "turn", "role", text_left.alias("text"),
         F.when(parent < NO_TURN, parent).alias("parent_turn"), F.col("link").isNotNull().alias("quotes"),
-        F.col("depth").cast("long").alias("depth"), (F.col("begins") + F.col("inside")).alias("place"))
+        "depth", "place")
