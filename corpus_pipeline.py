@@ -66,9 +66,14 @@ STAGES = [
 # brute force.
 ORACLE_SQL = None
 
+# Rows of very long texts reach Python in batches of this size at most, or one row; both sides of
+# the exchange hold a batch several times.
+BATCH_BYTES = "8m"
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
